@@ -21,10 +21,18 @@ def _col(c) -> Column:
 
 # --- JSON -------------------------------------------------------------------
 
+# Timestamps travel with microseconds (Spark's JSON default keeps only
+# milliseconds, which would not survive a round trip).
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def parse_json(x, schema: StructType | str) -> Column:
     """SCL-11: JSON text -> struct.  Malformed text gives a struct of nulls,
     null text a null struct, a field of the wrong type a null field."""
-    return F.from_json(_col(x), schema)
+    return F.from_json(_col(x), schema, JSON_OPTIONS)
 
 
 def is_malformed_json(x) -> Column:
@@ -37,7 +45,7 @@ def row_to_json(*cols) -> Column:
     """SCL-12: the columns (default all) as one JSON object text; null fields
     are omitted like ``DataFrame.toJSON``."""
     cols = cols or ("*",)
-    return F.to_json(F.struct(*[_col(c) for c in cols]))
+    return F.to_json(F.struct(*[_col(c) for c in cols]), JSON_OPTIONS)
 
 
 # --- paths ------------------------------------------------------------------
