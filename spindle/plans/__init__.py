@@ -1,6 +1,6 @@
 """Named queries over the driver's tables (``queries()`` / ``oracle_sql()``)."""
 
-from . import core, ml, profiling, text_arrays  # noqa: F401  (registration side effects)
+from . import core, ml, profiling, streams, text_arrays  # noqa: F401  (registration side effects)
 from .registry import ORACLE_SQL, QUERIES, SURVEY_IDS
 
 __all__ = ["ORACLE_SQL", "QUERIES", "SURVEY_IDS"]
