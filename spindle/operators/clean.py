@@ -78,7 +78,8 @@ def iqr_keep_condition(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> Co
             continue
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
         x = F.col(c).cast("double")
-        out = F.coalesce((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(False))
+        # Spark orders NaN above every number; a NaN is never "outside".
+        out = F.coalesce(~F.isnan(x) & ((x < F.lit(lo)) | (x > F.lit(hi))), F.lit(False))
         bad = bad | out
     return ~bad
 

@@ -149,8 +149,9 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5, exact: boo
                      F.lit(0).cast("bigint").alias(f"o{i}")]
             continue
         inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        outside = ~F.isnan(x) & ((x < F.lit(lo)) | (x > F.lit(hi)))  # NaN sorts above all
         aggs += [F.min(F.when(inside, x)).alias(f"wl{i}"), F.max(F.when(inside, x)).alias(f"wh{i}"),
-                 F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"o{i}")]
+                 F.count_if(outside).alias(f"o{i}")]
     wide = df.agg(*aggs)
 
     def lit(v):
