@@ -10,7 +10,8 @@ from ..operators.clean import drop_header_lines, equals_typed, open_range
 from ..operators.split import key_hash_bucket
 from ..session import scratch_path
 from ..sinks.writers import write_text
-from ..sources.readers import read_csv, read_lines, read_table, run_sql, stack_batches
+from ..sources.readers import (read_csv, read_lines, read_table, read_whole_texts, run_sql,
+                               stack_batches)
 from .registry import query
 
 _HOUR_BIN_SQL = """
@@ -178,3 +179,47 @@ def stack_batches_query(spark, sf_dir):
     stacked = stack_batches([spark.read.parquet(f"{root}/batch={i}") for i in range(n)])
     return stacked.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"),
                                                F.round(F.sum("l_quantity"), 6).alias("qty"))
+
+
+@query("csv_inferred", "SRC-01 SNK-02", """
+SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice,
+       strftime(o_orderdate, '%m/%d/%Y') AS o_orderdate, o_orderpriority
+FROM orders
+""")
+def csv_inferred(spark, sf_dir):
+    """Orders as CSV, read back with header + type inference (an extra scan
+    of the input; the date text stays a string)."""
+    o = read_table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders-csv-infer")
+    (o.withColumn("o_orderdate", format_us_date("o_orderdate"))
+     .write.mode("overwrite").option("header", True).csv(path))
+    back = read_csv(spark, path, infer=True)
+    return back.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"),
+                       "o_orderstatus", F.round(F.col("o_totalprice").cast("double"), 6).alias("o_totalprice"),
+                       F.col("o_orderdate").cast("string"), "o_orderpriority")
+
+
+@query("whole_text_newlines", "SRC-04 SCL-09", """
+SELECT source, CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_newlines
+FROM documents GROUP BY source
+""")
+def whole_text_newlines(spark, sf_dir):
+    """Documents land as text files (one folder per source); every file is
+    read whole as one string and its newlines counted; totals per source."""
+    docs = read_table(spark, sf_dir, "documents").select("source", "text")
+    root = scratch_path(spark, "whole-texts")
+    docs.write.mode("overwrite").partitionBy("source").text(root)
+    whole = read_whole_texts(spark, root)
+    nl = F.length("value") - F.length(F.replace(F.col("value"), F.lit("\n"), F.lit("")))
+    return (whole.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), nl.alias("nl"))
+            .groupBy("source").agg(F.sum("nl").cast("bigint").alias("n_newlines")))
+
+
+@query("preview_ordered", "ORD-03 SNK-08 PRJ-01", """
+SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 25
+""")
+def preview_ordered(spark, sf_dir):
+    """A deterministic ``show(25)``: total order, then the limit (planned as
+    TakeOrderedAndProject: each task keeps its own 25, no global sort)."""
+    from ..operators.profile import preview
+    return preview(read_table(spark, sf_dir, "embeddings").select("vec_id", "label"), ["vec_id"], 25)

@@ -85,7 +85,7 @@ def assemble(spark, sf_dir):
 _NB_FEATS = ["l_quantity", "l_discount", "l_tax"]
 
 
-@query("nb_params", "MLT-03", """
+@query("nb_params", "MLT-03 SRC-12", """
 WITH lab AS (SELECT l_returnflag, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS idx,
                     count(*) AS n_c, sum(l_quantity) AS s0, sum(l_discount) AS s1, sum(l_tax) AS s2
              FROM lineitem GROUP BY 1),
@@ -140,7 +140,7 @@ def event_feature_stages(df, label_model):
     return [label_model, string_indexer(str_cols), assembler(feats, handle_invalid="keep")]
 
 
-@query("train_eval", "MLT-01 MLT-02 MLT-07 MLT-08 MLT-09 MLT-10 FEA-06 SNK-07 SRC-13 STR-03 ORD-04")
+@query("train_eval", "MLT-01 MLT-02 MLT-07 MLT-08 MLT-09 MLT-10 FEA-06 SNK-07 SRC-13 STR-03 ORD-04 PRJ-09 PRJ-10 SET-02")
 def train_eval(spark, sf_dir, num_trees: int = 500, max_bins: int = 10000):
     """Clean -> index -> assemble -> split -> LR and RF -> save -> load ->
     train/test accuracy and weighted F1 (rows only: fitted models)."""
