@@ -41,28 +41,34 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     spark = df.sparkSession
     cols = list(cols)
     long = _long_values(df, cols)
-    stats = {r["column"]: r for r in long.groupBy("column").agg(
-        F.count("*").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()}
+    # n/min/max straight from the columns (no unpivot needed for this pass)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        ok = x.isNotNull() & ~F.isnan(x)
+        aggs += [F.count_if(ok).alias(f"n{i}"), F.min(F.when(ok, x)).alias(f"mn{i}"),
+                 F.max(F.when(ok, x)).alias(f"mx{i}")]
+    row = df.agg(*aggs).first()
+    stats = {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols) if row[f"n{i}"]}
 
-    # target = one wanted rank of one column: [column, rank, lo, hi, n_below]
+    # target = one wanted rank of one column: [column, rank, lo, hi, n_below, n_in]
     targets: dict[tuple, list] = {}
-    for c in cols:
-        st = stats.get(c)
-        if st is None:
-            continue
+    for c, (n, mn, mx) in stats.items():
         for p in probs:
-            pos = p * (st["n"] - 1)
+            pos = p * (n - 1)
             for r in {math.floor(pos), math.ceil(pos)}:
-                targets.setdefault((c, r), [c, r, st["mn"], st["mx"], 0, st["n"]])
+                targets.setdefault((c, r), [c, r, mn, mx, 0, n])
     found: dict[tuple, float] = {}
 
     while True:
-        open_t = {k: t for k, t in targets.items() if k not in found}
-        for k, t in list(open_t.items()):
-            c, r, lo, hi, below, cnt = t
-            if lo == hi:
-                found[k] = lo
-                del open_t[k]
+        open_t = {}
+        for k, t in targets.items():
+            if k in found:
+                continue
+            if t[2] == t[3]:
+                found[k] = t[2]
+            else:
+                open_t[k] = t
         if not open_t:
             break
         small = {k: t for k, t in open_t.items() if t[5] <= max_collect}
@@ -70,38 +76,40 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         if small:
             # One scan fetches the (at most max_collect per target) members
             # of every small interval; each target then picks its rank.
+            ivals = {(t[0], t[2], t[3]) for t in small.values()}
             cond = F.lit(False)
-            for c, r, lo, hi, below, cnt in small.values():
+            for c, lo, hi in ivals:
                 cond = cond | ((F.col("column") == c) & F.col("x").between(lo, hi))
-            got = long.where(cond).select("column", "x").collect()
+            got = long.where(cond).select("column", "x").toPandas()
             for k, (c, r, lo, hi, below, cnt) in small.items():
-                vals = sorted(row["x"] for row in got if row["column"] == c and lo <= row["x"] <= hi)
-                found[k] = vals[r - below]
+                v = got["x"][(got["column"] == c) & (got["x"] >= lo) & (got["x"] <= hi)].sort_values()
+                found[k] = float(v.iloc[r - below])
         if not large:
             continue
-        keys = list(large)
-        tdf = spark.createDataFrame(
-            [(i, large[k][0], float(large[k][2]), float(large[k][3])) for i, k in enumerate(keys)],
-            "tid int, column string, lo double, hi double")
-        # The target table has one row per wanted rank (columns x probs x 2):
-        # bounded by the query, not by the data, so it is broadcast.
+        # Targets sharing an interval (all ranks of a column in the first
+        # pass) share one histogram.  Intervals of one column are buckets of
+        # common parents, so they are equal or disjoint: after de-duplication
+        # every value joins at most one interval.
+        ivals = sorted({(t[0], t[2], t[3]) for t in large.values()})
+        iid = {iv: i for i, iv in enumerate(ivals)}
+        tdf = spark.createDataFrame([(i, c, float(lo), float(hi)) for (c, lo, hi), i in iid.items()],
+                                    "iid int, column string, lo double, hi double")
+        # One row per open interval (columns x ranks at most): bounded by the
+        # query, not by the data, so it is broadcast.
         joined = long.join(F.broadcast(tdf), "column").where(F.col("x").between(F.col("lo"), F.col("hi")))
         bucket = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets),
                          F.lit(buckets - 1)).cast("int")
-        hist = (joined.groupBy("tid", bucket.alias("b"))
-                .agg(F.count("*").alias("n"), F.min("x").alias("bmin"), F.max("x").alias("bmax"))
-                .collect())
-        per_t: dict[int, list] = {}
-        for row in hist:
-            per_t.setdefault(row["tid"], []).append(row)
-        for i, k in enumerate(keys):
-            c, r, lo, hi, below, cnt = large[k]
-            acc = below
-            for row in sorted(per_t[i], key=lambda x: x["b"]):
-                if acc + row["n"] > r:
-                    targets[k] = [c, r, row["bmin"], row["bmax"], acc, row["n"]]
-                    break
-                acc += row["n"]
+        hist = (joined.groupBy("iid", bucket.alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bmin"), F.max("x").alias("bmax"))
+                .toPandas().sort_values(["iid", "b"]))
+        per_i = {i: g for i, g in hist.groupby("iid")}
+        for k, (c, r, lo, hi, below, cnt) in large.items():
+            g = per_i[iid[(c, lo, hi)]]
+            cum = below + g["n"].cumsum()
+            j = int((cum > r).to_numpy().argmax())
+            before = below + int(g["n"].iloc[:j].sum())
+            targets[k] = [c, r, float(g["bmin"].iloc[j]), float(g["bmax"].iloc[j]), before,
+                          int(g["n"].iloc[j])]
 
     out = {}
     for c in cols:
@@ -110,7 +118,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             if st is None:
                 out[(c, p)] = None
                 continue
-            pos = p * (st["n"] - 1)
+            pos = p * (st[0] - 1)
             lo_v, hi_v = found[(c, math.floor(pos))], found[(c, math.ceil(pos))]
             out[(c, p)] = lo_v + (hi_v - lo_v) * (pos - math.floor(pos))
     return out
