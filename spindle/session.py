@@ -29,6 +29,11 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stopGracefullyOnShutdown": "true",
+    # Stream state (the exact dedup keeps every key) lives in RocksDB, off
+    # the JVM heap, with changelog checkpoints instead of full snapshots.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
