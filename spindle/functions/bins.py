@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values (must equal the reference's output for right results):
+# Fixed values (must equal the original job's output for right results):
 # click-hour bin labels, in order, for hours [0,6) [6,12) [12,18), and the
 # label for every other hour (>= 18, negative, or unparsable).
 HOUR_BIN_EDGES = [0, 6, 12, 18]
@@ -72,7 +72,7 @@ def ampm_time_bin(x, strict: bool = False) -> Column:
     """SCL-03: ``hhmmA`` / ``hhmmP`` text -> bin 1..6, default 3.
 
     Null or empty text gets the default bin; ``strict=True`` raises instead
-    (the reference's behaviour)."""
+    (the original job's behaviour)."""
     x = _col(x)
     hr, period = hour_prefix(x), last_char_upper(x)
     is_a, is_p = period == F.lit("A"), period == F.lit("P")

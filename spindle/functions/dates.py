@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the reference's date text layout, month/day/4-digit year with
+# Fixed value: the original data's date text layout, month/day/4-digit year with
 # one- or two-digit month and day.
 US_DATE_PATTERN = "M/d/yyyy"
 
@@ -18,7 +18,7 @@ def parse_us_date(x, strict: bool = False) -> Column:
     """SCL-01: ``MM/dd/yyyy`` (``1/2/2015`` too) -> date.
 
     Bad or null text gives null (so a later year filter drops the row);
-    ``strict=True`` raises on bad text like the reference."""
+    ``strict=True`` raises on bad text like the original job."""
     x = _col(x)
     if strict:
         return F.to_date(x, US_DATE_PATTERN)

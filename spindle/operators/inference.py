@@ -57,10 +57,10 @@ def fit_centroids(df: DataFrame, vec: str, label: str) -> DataFrame:
 
 def centroid_matrix(centroids: DataFrame, label: str) -> tuple[list, np.ndarray]:
     """Collect the fitted centroids (size checked first) as labels, matrix."""
-    n = centroids.count()
-    if n > MAX_MODEL_VALUES:
-        raise ValueError(f"centroid model has {n} values; above the broadcast bound")
-    rows = centroids.collect()
+    # One job: at most MAX_MODEL_VALUES + 1 rows ever reach the driver.
+    rows = centroids.limit(MAX_MODEL_VALUES + 1).collect()
+    if len(rows) > MAX_MODEL_VALUES:
+        raise ValueError("centroid model is above the broadcast bound")
     labels = sorted({r[label] for r in rows})
     dim = max(r["pos"] for r in rows) + 1
     mat = np.full((len(labels), dim), np.nan)
@@ -95,10 +95,10 @@ def nearest_centroid_loader(spark, labels: Sequence, mat: np.ndarray, metric: st
 
 
 def centroid_predict(df: DataFrame, vec: str, label: str, metric: str = "l2",
-                     batch_size: int = 64) -> DataFrame:
-    """INF-01: fit centroids on ``df`` and add ``prediction`` struct
-    ``(label, distance)``."""
-    labels, mat = centroid_matrix(fit_centroids(df, vec, label), label)
+                     batch_size: int = 64, model: tuple | None = None) -> DataFrame:
+    """INF-01: add ``prediction`` struct ``(label, distance)``; the centroids
+    are fitted on ``df`` unless a fitted ``model = (labels, matrix)`` is given."""
+    labels, mat = model if model is not None else centroid_matrix(fit_centroids(df, vec, label), label)
     udf = make_inference_udf(nearest_centroid_loader(df.sparkSession, labels, mat, metric),
                              "label long, distance double", batch_size)
     return df.withColumn("prediction", udf(F.col(vec)))

@@ -22,5 +22,10 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame,
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7):
-    """``randomSplit`` as in the reference (depends on partitioning)."""
+    """``randomSplit`` as in the original job (depends on partitioning)."""
     return df.randomSplit(list(weights), seed=seed)
+
+
+def split_label(key, train_pct: int = 80, names: tuple[str, str] = ("train", "test")) -> Column:
+    """The split each row falls in, as a column (one scan for both sides)."""
+    return F.when(key_hash_bucket(key) < train_pct, F.lit(names[0])).otherwise(F.lit(names[1]))

@@ -12,7 +12,7 @@ from ..operators.features import (TEXT_FEATURES, assembler, index_to_string, min
                                   string_indexer, text_features, vector_columns)
 from ..operators.models import (cross_validate, decision_tree, feature_importances,
                                 logistic_regression, naive_bayes, persist, random_forest,
-                                reference_grids, score_report, train_pipelines)
+                                classifier_grids, score_report, train_pipelines)
 from ..operators.split import hash_split, key_hash_bucket, random_split
 from ..session import scratch_path
 from ..sources.readers import load_model, read_table
@@ -176,7 +176,7 @@ def cv_models(spark, sf_dir):
     lr, rf = logistic_regression(maxIter=100), random_forest(numTrees=3, maxDepth=2, maxBins=32)
     nb, dt = naive_bayes(), decision_tree()
     best = {}
-    for name, (est, grid) in reference_grids(lr, rf, nb, dt).items():
+    for name, (est, grid) in classifier_grids(lr, rf, nb, dt).items():
         best[name] = cross_validate(est, grid, train).bestModel
     return score_report(best, {"train": train, "test": test})
 
@@ -186,7 +186,7 @@ def feature_importance(spark, sf_dir):
     data = _text_training_frame(spark, sf_dir)
     train, _ = hash_split(data, "doc_id", 80)
     rf = random_forest(numTrees=3, maxDepth=2, maxBins=32)
-    grid = reference_grids(logistic_regression(), rf, naive_bayes(), decision_tree())["rf"][1]
+    grid = classifier_grids(logistic_regression(), rf, naive_bayes(), decision_tree())["rf"][1]
     model = cross_validate(rf, grid, persist(train)[0]).bestModel
     return spark.createDataFrame(feature_importances(model, TEXT_FEATURES),
                                  "feature string, importance double")

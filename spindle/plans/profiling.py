@@ -8,7 +8,7 @@ from ..operators.clean import dedup, drop_null_heavy, fill_defaults, iqr_filter
 from ..operators.profile import (boxplot_stats, duplicate_keys, frequency, frequency_many,
                                  histogram, null_nan_counts, quartiles, row_count, summary,
                                  top_k_per_group)
-from ..operators.split import hash_split
+from ..operators.split import split_label
 from ..sources.readers import load_table, read_table
 from .registry import query
 
@@ -250,7 +250,5 @@ FROM orders GROUP BY 1
 """)
 def hash_split_q(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
-    train, test = hash_split(o, "o_orderkey", 80)
-    return (train.select(F.lit("train").alias("split"))
-            .unionByName(test.select(F.lit("test").alias("split")))
+    return (o.select(split_label("o_orderkey", 80).alias("split"))
             .groupBy("split").agg(F.count(F.lit(1)).alias("n")))

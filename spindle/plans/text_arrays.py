@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import (argmax, chw_to_hwc, file_name, file_stem, is_malformed_json,
                          label_from_path, lookup, normalise_channels, parse_json, utf8_text,
                          weighted_position_sum)
-from ..operators.inference import CLASS_NAMES, centroid_predict
+from ..operators.inference import CLASS_NAMES, centroid_matrix, centroid_predict, fit_centroids
 from ..operators.metrics import accuracy_f1
 from ..operators.profile import top_k_per_group
 from ..operators.text import line_counts, words_per_line
@@ -207,9 +207,10 @@ def model_topk(spark, sf_dir):
     UDF factory; their top-2 predicted class names per true class, in one
     distributed plan instead of a driver loop per class."""
     e = read_table(spark, sf_dir, "embeddings")
+    model = centroid_matrix(fit_centroids(e, "embedding", "label"), "label")  # fitted once
     preds = None
     for name, metric in [("centroid_l2", "l2"), ("centroid_l1", "l1")]:
-        p = centroid_predict(e, "embedding", "label", metric=metric).select(
+        p = centroid_predict(e, "embedding", "label", metric=metric, model=model).select(
             F.lit(name).alias("model"), lookup("label", CLASS_NAMES).alias("label_name"),
             lookup("prediction.label", CLASS_NAMES).alias("predicted"))
         preds = p if preds is None else preds.unionByName(p)
