@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import ampm_text_from_ts, format_us_date, parse_json
 from ..operators.clean import CleanSpec, clean, feature_columns
-from ..operators.features import (TEXT_FEATURES, assembler, index_to_string, minmax_scaler,
-                                  string_indexer, text_features, vector_columns)
+from ..operators.features import (TEXT_FEATURES, assembler, index_to_string, minmax_scale,
+                                  string_indexer, text_features)
 from ..operators.models import (cross_validate, decision_tree, feature_importances,
                                 logistic_regression, naive_bayes, persist, random_forest,
                                 classifier_grids, score_report, train_pipelines)
@@ -59,11 +59,9 @@ def minmax(spark, sf_dir):
     applied to every row."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *_MM_COLS)
     train, _ = hash_split(li, "l_orderkey", 80)
-    from ..operators.features import fit_transform
-    _, _, scaled = fit_transform([assembler(_MM_COLS, "raw"), minmax_scaler("raw", "scaled")], train, li)
-    names = [f"s_{c[2:]}" for c in _MM_COLS]
-    out = vector_columns(scaled, "scaled", names)
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", *[F.round(n, 6).alias(n) for n in names])
+    scaled = minmax_scale(li, _MM_COLS, fit_on=train, prefix="s_")
+    return scaled.select("l_orderkey", "l_linenumber", "l_partkey",
+                         *[F.round(f"s_{c}", 6).alias(f"s_{c[2:]}") for c in _MM_COLS])
 
 
 _AS_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
@@ -159,7 +157,7 @@ def train_eval(spark, sf_dir, num_trees: int = 500, max_bins: int = 10000):
 
 
 def _text_training_frame(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents", spread_input=True).select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     # Both sides may be large: a plain equi-join; AQE turns it into a
     # broadcast join only when the runtime size of a side is under the limit.

@@ -28,7 +28,7 @@ FROM (SELECT lang, {_TEXT_LINES} AS nl, len(regexp_extract_all(text, {WORD_RE}))
 GROUP BY lang
 """)
 def avg_words(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", spread_input=True)
     return words_per_line(d, "text", by=["lang"]).withColumn(
         "avg_words_per_line", F.round("avg_words_per_line", 6))
 
@@ -38,7 +38,7 @@ SELECT doc_id, CAST({_NL} + 1 AS BIGINT) AS lines_split, CAST({_TEXT_LINES} AS B
 FROM documents
 """)
 def line_count(spark, sf_dir):
-    return line_counts(read_table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
+    return line_counts(read_table(spark, sf_dir, "documents", spread_input=True), "text", keep=["doc_id"])
 
 
 @query("json_parse", "SCL-11 PRJ-02 PRJ-03", """
@@ -64,7 +64,7 @@ FROM events
 def json_roundtrip(spark, sf_dir):
     """Rows -> JSON messages (binary value, as a producer would send them)
     -> UTF-8 decode -> typed struct -> columns; all distributed."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events", spread_input=True)
     msgs = to_messages(ev, "events", key="event_id")
     back = (msgs.select(parse_json(utf8_text("value"), _EVENT_MSG_SCHEMA).alias("data"))
             .select("data.*"))

@@ -18,9 +18,24 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the input when it arrives in fewer partitions than the
+    cluster has cores (e.g. one large file with a single row group, which no
+    scan can split).  On a well-partitioned input - any 100 TB table - this
+    is a no-op and adds no exchange.  Column pruning and pushed filters still
+    reach the scan below the repartition."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(want) if n < want else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = False) -> DataFrame:
+    """One of the driver's parquet tables.  ``spread_input`` is for queries
+    whose per-row work is CPU-heavy (regex over whole texts, JSON): measured,
+    it pays there and costs aggregation-only queries an extra exchange per
+    scan, so it is off by default (see :func:`spread`)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if spread_input else df
 
 
 def load_table(spark: SparkSession, name_or_path: str, fmt: str | None = None,

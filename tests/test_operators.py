@@ -147,3 +147,16 @@ def test_hash_split_is_stable(spark):
     a2, _ = hash_split(df.repartition(7), "k")
     assert a1.count() + b1.count() == 1000
     assert sorted(r[0] for r in a1.collect()) == sorted(r[0] for r in a2.collect())
+
+
+def test_native_minmax_equals_ml_scaler(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from spindle.operators.features import assembler, minmax_scale, minmax_scaler
+    rows = [(1.0, 5.0, 2.0), (3.0, 5.0, -1.0), (2.0, 5.0, 7.5), (9.0, 5.0, 0.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    train = df.limit(3)
+    model = Pipeline(stages=[assembler(["a", "b", "c"], "v"), minmax_scaler("v", "s")]).fit(train)
+    ml = [r[0] for r in model.transform(df).select(vector_to_array("s")).collect()]
+    native = [[r["s_a"], r["s_b"], r["s_c"]] for r in minmax_scale(df, ["a", "b", "c"], fit_on=train).collect()]
+    assert ml == native
