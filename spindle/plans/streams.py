@@ -39,7 +39,7 @@ def _publish_events_twice(spark, ev, topic_dir):
 
 
 def _dedup_job(spark, sf_dir, watermark: bool):
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events", spread_input=True)  # JSON encode/decode is CPU work
     topic, sink, ckpt = (scratch_path(spark, n) for n in ("topic", "dedup-out", "dedup-ckpt"))
     for _ in _publish_events_twice(spark, ev, topic):
         rows, _quarantine = decode_messages(message_stream(spark, topic), _EVENT_SCHEMA)
@@ -93,7 +93,7 @@ WHERE year(ts) > 2023 AND year(ts) < 2025
 def stream_clean(spark, sf_dir):
     """The shared ``clean`` on a stream of citation-shaped messages: the
     same function the batch training uses (STR-03)."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events", spread_input=True)
     topic, sink, ckpt = (scratch_path(spark, n) for n in ("cit-topic", "clean-out", "clean-ckpt"))
     write_messages(events_as_citations(ev), topic, "citations", key="Summons Number")
     rows, _ = decode_messages(message_stream(spark, topic), _CITATION_SCHEMA)
