@@ -169,6 +169,9 @@ class CleanSpec:
     time_bin_col: str = "Time bin"
     deterministic_dedup: bool = False
     strict: bool = False
+    # On a stream: (event-time column, delay) bounds the dedup state with a
+    # watermark; None keeps every key (exact, state grows with the keys).
+    stream_watermark: tuple[str, str] | None = None
 
 
 # The citation data's cleaning, column names as in the data.
@@ -217,7 +220,10 @@ def clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
     its state grows with the key count; see ``streaming.dedup_stream``)."""
     df = drop_columns(df, spec.drop_first)
     if spec.key:
-        if df.isStreaming:
+        if df.isStreaming and spec.stream_watermark:
+            ts, delay = spec.stream_watermark
+            df = df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(spec.key))
+        elif df.isStreaming:
             df = df.dropDuplicates(list(spec.key))
         else:
             df = dedup(df, spec.key, deterministic=spec.deterministic_dedup)

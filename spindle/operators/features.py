@@ -68,6 +68,37 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     return df.withColumns(out)
 
 
+OTHER = "__other__"
+
+
+def frequent_values(df: DataFrame, cols: Sequence[str], max_categories: int) -> dict[str, list]:
+    """The ``max_categories - 1`` most frequent values of each text column
+    (ties by value), from one scan: the ``(column, value)`` counts are a
+    partial aggregate and the per-column cut is a ``row_number`` window with
+    a partial group limit, so at most ``columns x max_categories`` rows reach
+    the driver."""
+    from pyspark.sql import Window
+
+    from .profile import frequency_many
+    counts = frequency_many(df, cols)
+    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc_nulls_first("value"))
+    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") < max_categories)
+    out: dict[str, list] = {c: [] for c in cols}
+    for r in top.select("column", "value").collect():
+        out[r["column"]].append(r["value"])
+    return out
+
+
+def fold_rare(df: DataFrame, cols: Sequence[str], max_categories: int) -> DataFrame:
+    """Keep the ``max_categories - 1`` most frequent values of each text
+    column and fold the rest (not null) into ``__other__``, so a tree's
+    ``maxBins`` always covers the category count however many distinct
+    values the data holds."""
+    keep = frequent_values(df, cols, max_categories)
+    return df.withColumns({c: F.when(F.col(c).isNull() | F.col(c).isin(keep[c]), F.col(c))
+                           .otherwise(F.lit(OTHER)) for c in cols})
+
+
 def fit_transform(stages: Sequence, train: DataFrame, *frames: DataFrame):
     """FEA-06: fit the stages on ``train`` only and apply the fitted model
     to ``train`` and every other frame (the scaler never sees test data)."""

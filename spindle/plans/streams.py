@@ -124,7 +124,12 @@ def stream_score(spark, sf_dir):
     write_messages(cit, topic, "citations", key="Summons Number")
     rows, _ = decode_messages(message_stream(spark, topic, max_files_per_trigger=4), _CITATION_SCHEMA)
     cleaned = clean(rows, EVENTS_SPEC)
-    scored = model.transform(cleaned.where(F.col(EVENTS_LABEL).isin(known)))
+    seen = F.col(EVENTS_LABEL).isin(known)
+    scored = model.transform(cleaned.where(seen))
+    # rows the label indexer would fail on (unseen or null label) are kept
+    # in a quarantine table by their own small stream
+    run_available_now(cleaned.where(~F.coalesce(seen, F.lit(False))), f"{root}/quarantine",
+                      f"{root}/ckpt-quarantine")
     run_foreach_batch(scored.select(EVENTS_LABEL, "label", "prediction"),
                       metrics_batch_writer(f"{root}/out", keep=[EVENTS_LABEL]), f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out/metrics")

@@ -160,3 +160,13 @@ def test_native_minmax_equals_ml_scaler(spark):
     ml = [r[0] for r in model.transform(df).select(vector_to_array("s")).collect()]
     native = [[r["s_a"], r["s_b"], r["s_c"]] for r in minmax_scale(df, ["a", "b", "c"], fit_on=train).collect()]
     assert ml == native
+
+
+def test_fold_rare_keeps_top_values(spark):
+    from spindle.operators.features import OTHER, fold_rare
+    rows = [("a",)] * 5 + [("b",)] * 3 + [("c",)] * 3 + [("d",)] + [(None,)] * 2
+    df = spark.createDataFrame(rows, "v string")
+    got = sorted((r[0] is None, r[0]) for r in fold_rare(df, ["v"], 3).collect())
+    vals = [v for _, v in got]
+    assert vals.count("a") == 5 and vals.count("b") == 3 and vals.count(OTHER) == 4
+    assert vals.count(None) == 2
