@@ -15,35 +15,24 @@ from spindle.functions import (ampm_time_bin, argmax, chw_to_hwc, click_hour_bin
 
 
 def py_time_bin(x):
-    """The original rule, restated; null/empty -> 3 (our documented choice)."""
-    if not x:
+    """Independent statement of the rule on a 24-hour clock: a two-digit
+    hour 00-12 with an A/P marker maps to hour-of-day h (12 A -> 0, 12 P ->
+    12, 00 P -> 12), and the bin is the 4-hour block of h plus one; any other
+    text (and null/empty, our documented choice) gets bin 3."""
+    if not x or len(x) < 2 or not x[:2].isdigit():
         return 3
-    hr, p = x[:2], x[-1].upper()
-    if hr in ["00", "01", "02", "03", "12"] and p == "A":
-        return 1
-    if hr in ["04", "05", "06", "07"] and p == "A":
-        return 2
-    if hr in ["08", "09", "10", "11"] and p == "A":
+    hh, marker = int(x[:2]), x[-1].upper()
+    if hh > 12 or marker not in ("A", "P"):
         return 3
-    if hr in ["12", "00", "01", "02", "03"] and p == "P":
-        return 4
-    if hr in ["04", "05", "06", "07"] and p == "P":
-        return 5
-    if hr in ["08", "09", "10", "11"] and p == "P":
-        return 6
-    return 3
+    h24 = hh % 12 + (12 if marker == "P" else 0)
+    return h24 // 4 + 1
 
 
 def py_hour_bin(x):
-    if x is None:
+    """Six-hour blocks of the day; anything outside [0, 18) is the last one."""
+    if x is None or not 0 <= x < 18:
         return "18-24"
-    if 0 <= x < 6:
-        return "0-6"
-    if 0 <= x < 12:
-        return "6-12"
-    if 12 <= x < 18:
-        return "12-18"
-    return "18-24"
+    return ["0-6", "6-12", "12-18"][x // 6]
 
 
 TIME_TEXT = st.one_of(
