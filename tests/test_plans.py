@@ -55,3 +55,45 @@ def test_year_filter_is_pushed(spark):
 def test_inference_uses_arrow_iterator_udf(spark, entry_mod):
     df = entry_mod.queries()["centroid_infer"](spark, SF001)
     assert "ArrowEvalPython" in _plan(df) or "MapInArrow" in _plan(df) or "PythonUDF" in _plan(df)
+
+
+# Every driver-side action in the library, with the bound on what it returns.
+# A new collect/first/toPandas/take/count must be reviewed and added here.
+BOUNDED_ACTIONS = {
+    "plans/text_arrays.py": {"collect": 1},   # per-channel stats: one row per channel
+    "plans/core.py": {"first": 1},            # max key: one row
+    "streaming/jobs.py": {"first": 1},        # batch metrics: one row
+    "operators/inference.py": {"collect": 1},  # centroids, limited to MAX_MODEL_VALUES + 1
+    "operators/clean.py": {"first": 2},       # header line; null ratios (one row)
+    "operators/features.py": {"first": 1, "collect": 1},  # min/max row; top values per column
+    "operators/quantile.py": {"first": 2, "toPandas": 2},  # stats rows; <= targets x max_collect
+                                                           # values; <= intervals x buckets rows
+}
+
+
+def test_driver_actions_are_bounded():
+    import os
+    import re
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "spindle")
+    found = {}
+    for dirpath, _, files in os.walk(root):
+        for f in files:
+            if not f.endswith(".py"):
+                continue
+            rel = os.path.relpath(os.path.join(dirpath, f), root)
+            text = open(os.path.join(dirpath, f)).read()
+            for action in ("collect", "first", "toPandas", "take", "count"):
+                n = len(re.findall(r"\." + action + r"\(\)", text))
+                if n:
+                    found.setdefault(rel, {})[action] = n
+    assert found == BOUNDED_ACTIONS
+
+
+def test_dedup_and_topk_reduce_before_the_shuffle(spark):
+    from spindle.operators.clean import dedup
+    from spindle.sources.readers import read_table
+    li = read_table(spark, SF001, "lineitem")
+    plan = _plan(dedup(li, ["l_orderkey", "l_linenumber"], deterministic=True))
+    # the partial group limit sits below the exchange: one row per key per map task
+    partial = plan.index("Partial")
+    assert "WindowGroupLimit" in plan and plan.index("Exchange") < partial
