@@ -1,8 +1,9 @@
 """Text functions (SCL-07, SCL-08, SCL-09, SCL-10).
 
-Whole texts are processed; nothing is truncated.  Counting avoids building
-arrays where a count is all that is needed (``regexp_count`` instead of
-``size(regexp_extract_all(...))``).
+Whole texts are processed; nothing is truncated.  All are JVM expressions
+inside whole-stage codegen (note: Spark rewrites ``regexp_count`` to
+``size(regexp_extract_all(...))``, so a word count does build the token
+array per text, on the executor).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def word_tokens(x) -> Column:
 
 
 def word_count(x) -> Column:
-    """SCL-07 + SCL-08: number of word tokens, without materialising them."""
+    """SCL-07 + SCL-08: number of word tokens."""
     return F.regexp_count(_col(x), F.lit(WORD_PATTERN))
 
 
