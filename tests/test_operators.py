@@ -170,3 +170,33 @@ def test_fold_rare_keeps_top_values(spark):
     vals = [v for _, v in got]
     assert vals.count("a") == 5 and vals.count("b") == 3 and vals.count(OTHER) == 4
     assert vals.count(None) == 2
+
+
+@pytest.mark.parametrize("accuracy", [None, 3, 1000, 100_000])
+def test_exact_quantiles_with_any_sketch_bracket(spark, accuracy):
+    """Coarse sketches give loose or wrong brackets; the result stays exact."""
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.standard_cauchy(3000), np.full(2000, -1.25)])
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = exact_quantiles(df, ["x"], probs, buckets=8, max_collect=40, sketch_accuracy=accuracy)
+    for p in probs:
+        assert math.isclose(got[("x", p)], float(np.quantile(x, p)), rel_tol=1e-12, abs_tol=1e-15)
+
+
+def test_exact_quantiles_survive_a_wrong_sketch(spark, monkeypatch):
+    """A sketch whose bracket misses the rank is caught by the exact check
+    and the rank is found from the full range instead."""
+    import spindle.operators.quantile as Q
+    real = Q.F.percentile_approx
+
+    def wrong(col, percentages, accuracy):
+        _ = real
+        return F.array(*[F.lit(1e9) for _ in percentages])
+    monkeypatch.setattr(Q.F, "percentile_approx", wrong)
+    x = np.arange(500, dtype=float)[::-1]
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    got = Q.exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], buckets=8, max_collect=20,
+                            sketch_accuracy=1000)
+    for p in (0.1, 0.5, 0.9):
+        assert math.isclose(got[("x", p)], float(np.quantile(x, p)))
