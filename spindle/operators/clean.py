@@ -56,6 +56,17 @@ def open_range(col, lo, hi) -> Column:
     return (c > F.lit(lo)) & (c < F.lit(hi))
 
 
+def year_open_range(col, lo: int, hi: int) -> Column:
+    """FLT-02 on a typed date/timestamp column: ``lo < year(col) < hi`` as a
+    range on the column itself (``[lo+1-01-01, hi-01-01)``), which reaches
+    the Parquet reader as a pushed filter and skips row groups by their
+    min/max statistics; the derived-year form cannot be pushed."""
+    c = F.col(col) if isinstance(col, str) else col
+    start = F.make_date(F.lit(lo + 1), F.lit(1), F.lit(1))
+    end = F.make_date(F.lit(hi), F.lit(1), F.lit(1))
+    return (c >= start) & (c < end)
+
+
 def drop_header_lines(lines: DataFrame, header: str | None = None, col: str = "value") -> DataFrame:
     """FLT-04: remove every line equal to the header; the header defaults to
     the first line the reader returns (one row, no full scan)."""

@@ -97,3 +97,8 @@ def test_dedup_and_topk_reduce_before_the_shuffle(spark):
     # the partial group limit sits below the exchange: one row per key per map task
     partial = plan.index("Partial")
     assert "WindowGroupLimit" in plan and plan.index("Exchange") < partial
+
+
+def test_year_range_on_typed_date_is_pushed(spark, entry_mod):
+    plan = _plan(entry_mod.queries()["year_filter"](spark, SF001))
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in plan and "LessThan(o_orderdate,2000-01-01" in plan
