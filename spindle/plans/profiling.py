@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.clean import dedup, drop_null_heavy, fill_defaults, iqr_filter
@@ -252,3 +253,53 @@ def hash_split_q(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
     return (o.select(split_label("o_orderkey", 80).alias("split"))
             .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+
+
+_EXPLORE_COLS = ["Issue Date", "Violation Time", "user_id", "event_type",
+                 "Time bin", "Issue Day", "Issue Month", "Issue Year"]
+_EXPLORE_SQL_BASE = """
+SELECT strftime(ts, '%m/%d/%Y') AS "Issue Date",
+       strftime(ts, '%I%M') || left(strftime(ts, '%p'), 1) AS "Violation Time",
+       CAST(user_id AS VARCHAR) AS user_id, event_type,
+       CAST(CASE WHEN hr IN ('00','01','02','03','12') AND p = 'A' THEN 1
+            WHEN hr IN ('04','05','06','07') AND p = 'A' THEN 2
+            WHEN hr IN ('08','09','10','11') AND p = 'A' THEN 3
+            WHEN hr IN ('12','00','01','02','03') AND p = 'P' THEN 4
+            WHEN hr IN ('04','05','06','07') AND p = 'P' THEN 5
+            WHEN hr IN ('08','09','10','11') AND p = 'P' THEN 6
+            ELSE 3 END AS VARCHAR) AS "Time bin",
+       CAST(dayofweek(ts) + 1 AS VARCHAR) AS "Issue Day", CAST(month(ts) AS VARCHAR) AS "Issue Month",
+       CAST(year(ts) AS VARCHAR) AS "Issue Year"
+FROM (SELECT *, strftime(ts, '%I') AS hr, left(strftime(ts, '%p'), 1) AS p FROM events) e"""
+
+
+_EXPLORE_UNION = " UNION ALL ".join(
+    "SELECT '%s' AS column_name, \"%s\" AS value FROM b" % (c, c) for c in _EXPLORE_COLS)
+
+
+@query("explore_profile", "AGG-02 AGG-03 AGG-10 ORD-01 ORD-02 SCL-01 SCL-02 SCL-03", f"""
+WITH b AS ({_EXPLORE_SQL_BASE}),
+long AS ({_EXPLORE_UNION}),
+cnt AS (SELECT column_name, value, count(*) AS "count" FROM long GROUP BY 1, 2)
+SELECT column_name, value, "count", "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY "count" DESC, value ASC NULLS FIRST) AS "rank"
+  FROM cnt) t
+WHERE "rank" <= 10
+""")
+def explore_profile(spark, sf_dir):
+    """The exploration report: the citation-shaped events with the derived
+    date parts and time bin, and the ten most frequent values of every
+    retained column - one scan, one shuffle, a map-side top-10 per column
+    (instead of one job and one sort per column)."""
+    from ..functions import ampm_text_from_ts, ampm_time_bin, format_us_date, parse_us_date
+    ev = read_table(spark, sf_dir, "events")
+    base = ev.select(format_us_date("ts").alias("Issue Date"),
+                     ampm_text_from_ts("ts").alias("Violation Time"), "user_id", "event_type")
+    d = parse_us_date("Issue Date")
+    base = base.withColumns({"Time bin": ampm_time_bin("Violation Time"), "Issue Day": F.dayofweek(d),
+                             "Issue Month": F.month(d), "Issue Year": F.year(d)})
+    counts = frequency_many(base, _EXPLORE_COLS)
+    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc_nulls_first("value"))
+    top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 10)
+    return top.select(F.col("column").alias("column_name"), "value", "count",
+                      F.col("rank").cast("bigint").alias("rank"))
