@@ -24,8 +24,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scan can split).  On a well-partitioned input - any 100 TB table - this
     is a no-op and adds no exchange.  Column pruning and pushed filters still
     reach the scan below the repartition."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a Spark Connect session): leave as is
+        return df
     return df.repartition(want) if n < want else df
 
 
