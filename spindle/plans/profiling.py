@@ -70,7 +70,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 WHERE rn = 1
 """)
 def dedup_first(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
+    # the per-key sort is the heavy part: spread an under-partitioned input
+    # first (measured 3.75 -> 3.09 s at sf0.1; a no-op on large inputs)
+    li = read_table(spark, sf_dir, "lineitem", spread_input=True)
     li = li.select("l_orderkey", "l_linenumber", *[c.strip() for c in _LI_COLS.split(",")])
     out = dedup(li, ["l_orderkey", "l_linenumber"], deterministic=True)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
