@@ -13,7 +13,7 @@ from ..operators.features import (TEXT_FEATURES, assembler, fold_rare, index_to_
 from ..operators.models import (cross_validate, decision_tree, feature_importances,
                                 logistic_regression, naive_bayes, persist, random_forest,
                                 classifier_grids, score_report, train_pipelines)
-from ..operators.split import hash_split, key_hash_bucket, random_split
+from ..operators.split import hash_split, random_split
 from ..session import scratch_path
 from ..sources.readers import load_model, read_table
 from .registry import query
