@@ -155,7 +155,7 @@ def test_normalise_channels(spark):
 
 
 def test_paths(spark):
-    df = spark.createDataFrame([("./c10_data/train_data/cat/12.jpg",), ("/x/y.tar.gz",), ("nolabel",)],
+    df = spark.createDataFrame([("./images/train/cat/12.jpg",), ("/x/y.tar.gz",), ("nolabel",)],
                                "p string")
-    rows = df.select(label_from_path("p", "./c10_data/train_data/([^/]+)"), file_stem("p")).collect()
+    rows = df.select(label_from_path("p", "./images/train/([^/]+)"), file_stem("p")).collect()
     assert [tuple(r) for r in rows] == [("cat", "12"), ("", "y"), ("", "nolabel")]
