@@ -45,7 +45,7 @@ def feature_columns(df: DataFrame, label: str, suffix: str = "_idx") -> tuple[li
 
 def equals_typed(df: DataFrame, col: str, value) -> Column:
     """FLT-01: ``col == value`` with the literal cast to the column's type
-    (``'1367826652'`` against a long key compares as a long)."""
+    (``'9000000001'`` against a long key compares as a long)."""
     dtype = df.schema[col].dataType
     return F.col(col) == F.lit(value).cast(dtype)
 

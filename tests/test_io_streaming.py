@@ -25,7 +25,7 @@ def _write(path, data: bytes):
 
 def test_csv_inferred_and_declared(spark, tmp_dir):
     _write(f"{tmp_dir}/a.csv", b"Summons Number,Issue Date,Violation Time,Unregistered Vehicle?\n"
-                               b"1367826652,01/02/2015,0752A,0\n5,1/2/2015,1200P,\n")
+                               b"9000000001,01/02/2015,0752A,0\n5,1/2/2015,1200P,\n")
     inferred = read_csv(spark, tmp_dir, infer=True)
     types = dict(inferred.dtypes)
     assert types["Summons Number"] in ("bigint", "int") and types["Issue Date"] == "string"

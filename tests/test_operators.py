@@ -95,8 +95,8 @@ def test_fill_defaults_checks_types(spark):
 
 
 def test_equals_typed_casts_literal(spark):
-    df = spark.createDataFrame([(1367826652,), (5,)], "k long")
-    assert df.where(equals_typed(df, "k", "1367826652")).count() == 1
+    df = spark.createDataFrame([(9000000001,), (5,)], "k long")
+    assert df.where(equals_typed(df, "k", "9000000001")).count() == 1
 
 
 def test_drop_header_removes_every_copy(spark):
