@@ -7,6 +7,7 @@ fitted state (labels, min/max vectors) reaches the driver.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -95,6 +96,10 @@ def fold_rare(df: DataFrame, cols: Sequence[str], max_categories: int) -> DataFr
     ``maxBins`` always covers the category count however many distinct
     values the data holds."""
     keep = frequent_values(df, cols, max_categories)
+    for c, vals in keep.items():
+        if len(vals) >= max_categories - 1:
+            log.info("fold_rare: %s has more than %d values; the rest become %r",
+                     c, max_categories - 1, OTHER)
     return df.withColumns({c: F.when(F.col(c).isNull() | F.col(c).isin(keep[c]), F.col(c))
                            .otherwise(F.lit(OTHER)) for c in cols})
 
@@ -117,6 +122,8 @@ def without_features(df: DataFrame, drop: Sequence[str]) -> DataFrame:
     return df.drop(*drop)
 
 
+log = logging.getLogger(__name__)
+
 TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_upper", "n_punct"]
 
 
