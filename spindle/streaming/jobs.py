@@ -125,12 +125,17 @@ def per_file_line_counts(out_root: str) -> Callable[[DataFrame, int], None]:
 
 
 def file_arrivals(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
-                  line_sep: str = "\n") -> DataFrame:
+                  line_sep: str = "\n", archive_dir: str | None = None) -> DataFrame:
     """SRC-09: a stream of the lines of files landing in ``folder`` (each
-    file once, tracked by the checkpoint), tagged with the file's path."""
+    file once, tracked by the checkpoint), tagged with the file's path.
+    For a long-running landing zone pass ``archive_dir``: processed files are
+    moved there (``cleanSource=archive``), so listing the folder stays cheap
+    however many files have arrived."""
     r = spark.readStream.format("text").option("lineSep", line_sep)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.load(folder).select(F.col("_metadata.file_path").alias("path"), "value")
 
 

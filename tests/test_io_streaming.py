@@ -195,3 +195,16 @@ def test_clean_batch_equals_stream(spark, tmp_dir, n_files):
     assert len(progress) >= n_files
     stream = spark.read.parquet(sink).select(*batch.columns)
     assert sorted(map(tuple, batch.collect()), key=str) == sorted(map(tuple, stream.collect()), key=str)
+
+
+def test_file_arrivals_archive_processed_files(spark, tmp_dir):
+    _write(f"{tmp_dir}/zone/in/a.txt", b"1\n2\n")
+    run_foreach_batch(file_arrivals(spark, f"{tmp_dir}/zone/in", archive_dir=f"{tmp_dir}/archive"),
+                      per_file_line_counts(f"{tmp_dir}/counts"), f"{tmp_dir}/ckpt")
+    _write(f"{tmp_dir}/zone/in/b.txt", b"3\n")
+    run_foreach_batch(file_arrivals(spark, f"{tmp_dir}/zone/in", archive_dir=f"{tmp_dir}/archive"),
+                      per_file_line_counts(f"{tmp_dir}/counts"), f"{tmp_dir}/ckpt")
+    got = sorted(r["n_lines"] for r in spark.read.parquet(f"{tmp_dir}/counts").collect())
+    assert got == [1, 2]
+    # files of completed batches are moved out of the landing folder
+    assert "a.txt" not in os.listdir(f"{tmp_dir}/zone/in")
