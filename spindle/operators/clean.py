@@ -67,14 +67,27 @@ def year_open_range(col, lo: int, hi: int) -> Column:
     return (c >= start) & (c < end)
 
 
+def first_line(lines: DataFrame, col: str = "value") -> str | None:
+    """The first line of the first (non-empty) input file in path order - what
+    a text-file reader calls the first line.  The DataFrame's first row is not
+    that: Spark packs the largest file into the first partition.  Reads one
+    row per file tried, never a whole file."""
+    spark = lines.sparkSession
+    for path in sorted(lines.inputFiles()):
+        row = spark.read.text(path).first()
+        if row is not None:
+            return row[0]
+    row = lines.select(col).first()  # not file-backed: best effort
+    return None if row is None else row[0]
+
+
 def drop_header_lines(lines: DataFrame, header: str | None = None, col: str = "value") -> DataFrame:
     """FLT-04: remove every line equal to the header; the header defaults to
-    the first line the reader returns (one row, no full scan)."""
+    :func:`first_line` of the input."""
     if header is None:
-        first = lines.select(col).first()
-        if first is None:
+        header = first_line(lines, col)
+        if header is None:
             return lines
-        header = first[0]
     return lines.where(~F.col(col).eqNullSafe(F.lit(header)))
 
 

@@ -200,3 +200,16 @@ def test_exact_quantiles_survive_a_wrong_sketch(spark, monkeypatch):
                             sketch_accuracy=1000)
     for p in (0.1, 0.5, 0.9):
         assert math.isclose(got[("x", p)], float(np.quantile(x, p)))
+
+
+def test_header_is_the_first_line_of_the_first_file(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/log", exist_ok=True)
+    with open(f"{tmp_dir}/log/part-0.txt", "w") as f:
+        f.write("date time\n2024-01-01 07:15:00\n")
+    with open(f"{tmp_dir}/log/part-1.txt", "w") as f:  # larger file, read first by Spark
+        f.write("".join(f"2024-01-0{1 + i % 9} 19:0{i % 10}:11\n" for i in range(200)))
+    from spindle.sources.readers import read_lines
+    lines = read_lines(spark, f"{tmp_dir}/log")
+    kept = drop_header_lines(lines)
+    assert kept.count() == 201 and kept.where("value = 'date time'").count() == 0

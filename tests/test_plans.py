@@ -64,7 +64,7 @@ BOUNDED_ACTIONS = {
     "plans/core.py": {"first": 1},            # max key: one row
     "streaming/jobs.py": {"first": 1},        # batch metrics: one row
     "operators/inference.py": {"collect": 1},  # centroids, limited to MAX_MODEL_VALUES + 1
-    "operators/clean.py": {"first": 2},       # header line; null ratios (one row)
+    "operators/clean.py": {"first": 3},       # one line per file tried; null ratios (one row)
     "operators/features.py": {"first": 1, "collect": 1},  # min/max row; top values per column
     "operators/quantile.py": {"first": 2, "toPandas": 2},  # stats rows; <= targets x max_collect
                                                            # values; <= intervals x buckets rows
