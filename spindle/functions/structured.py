@@ -79,8 +79,9 @@ def chw_to_hwc(a, channels: int, height: int, width: int) -> Column:
         c = k % channels
         return c * (height * width) + h * width + w + 1
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                       lambda k: F.element_at(a, src(k).cast("int")))
+    out = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
+                      lambda k: F.element_at(a, src(k).cast("int")))
+    return F.when(a.isNotNull(), out)
 
 
 def argmax(a) -> Column:

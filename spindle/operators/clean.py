@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DataType, DoubleType, FloatType, NumericType,
+from pyspark.sql.types import (DataType, DoubleType, FloatType, MapType, NumericType,
                                StringType)
 
 from ..functions.bins import ampm_time_bin
@@ -134,7 +134,10 @@ def dedup(df: DataFrame, keys: Sequence[str], deterministic: bool = False) -> Da
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    w = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_first(c) for c in rest])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # maps have no order: their JSON text stands in as the tie-break
+    order = [F.to_json(F.col(c)) if isinstance(types[c], MapType) else F.col(c) for c in rest]
+    w = Window.partitionBy(*keys).orderBy(*[o.asc_nulls_first() for o in order])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

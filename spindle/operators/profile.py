@@ -17,6 +17,11 @@ from pyspark.sql.types import DoubleType, FloatType
 from .quantile import approx_quantiles, exact_quantiles
 
 
+def _sql_text(name: str) -> str:
+    """A column name as a SQL string literal (quotes doubled)."""
+    return "'" + name.replace("'", "''") + "'"
+
+
 def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
     """AGG-01 / AGG-05: one row, 0 for empty input."""
     return df.agg(F.count(F.lit(1)).alias(alias))
@@ -64,8 +69,7 @@ def null_nan_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
         nan = F.count_if(F.isnan(c)) if is_float else F.lit(0).cast("bigint")
         aggs += [nan.alias(f"nan_{i}"), F.count_if(F.col(c).isNull()).alias(f"null_{i}")]
     wide = df.agg(*aggs)
-    pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', nan_{i}, null_{i}"
-                      for i, c in enumerate(cols))
+    pairs = ", ".join(f"{_sql_text(c)}, nan_{i}, null_{i}" for i, c in enumerate(cols))
     return wide.selectExpr(f"stack({len(cols)}, {pairs}) as (column, n_nan, n_null)")
 
 
@@ -80,7 +84,7 @@ def summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
                  F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', c{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
+    parts = ", ".join(f"{_sql_text(c)}, c{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
     return wide.selectExpr(
         f"stack({len(cols)}, {parts}) as (column, count, mean, stddev, min, max)")
 
@@ -157,7 +161,7 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5, exact: boo
     def lit(v):
         return "CAST(NULL AS DOUBLE)" if v is None else f"CAST({v!r} AS DOUBLE)"
     parts = ", ".join(
-        f"'{c}', {lit(bounds[c][0])}, {lit(bounds[c][1])}, {lit(bounds[c][2])}, {lit(bounds[c][3])}, "
+        f"{_sql_text(c)}, {lit(bounds[c][0])}, {lit(bounds[c][1])}, {lit(bounds[c][2])}, {lit(bounds[c][3])}, "
         f"wl{i}, wh{i}, o{i}" for i, c in enumerate(cols))
     return wide.selectExpr(
         f"stack({len(cols)}, {parts}) as (column, q1, q3, fence_lo, fence_hi, "

@@ -16,9 +16,10 @@ def key_hash_bucket(key) -> Column:
 
 
 def hash_split(df: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Deterministic split by key hash: ``bucket < train_pct`` is train."""
-    b = key_hash_bucket(key)
-    return df.where(b < train_pct), df.where(b >= train_pct)
+    """Deterministic split by key hash: ``bucket < train_pct`` is train; the
+    rest (including a null key) is test, so no row is lost."""
+    in_train = F.coalesce(key_hash_bucket(key) < train_pct, F.lit(False))
+    return df.where(in_train), df.where(~in_train)
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7):

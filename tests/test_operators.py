@@ -213,3 +213,16 @@ def test_header_is_the_first_line_of_the_first_file(spark, tmp_dir):
     lines = read_lines(spark, f"{tmp_dir}/log")
     kept = drop_header_lines(lines)
     assert kept.count() == 201 and kept.where("value = 'date time'").count() == 0
+
+
+def test_edge_cases_quotes_null_keys_maps(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, 5)], "`it's` double, k int")
+    assert summary(df, ["it's"]).first()["column"] == "it's"
+    assert boxplot_stats(df, ["it's"]).first()["column"] == "it's"
+    a, b = hash_split(df, "k")
+    assert a.count() + b.count() == 2  # the null key is not lost
+    m = spark.createDataFrame([(1, {"b": 2}), (1, {"a": 1})], "k int, m map<string,int>")
+    assert dedup(m, ["k"], deterministic=True).first()["m"] == {"a": 1}
+    from spindle.functions import chw_to_hwc
+    n = spark.createDataFrame([(None,)], "a array<double>")
+    assert n.select(chw_to_hwc("a", 1, 1, 2)).first()[0] is None
