@@ -208,3 +208,21 @@ def test_file_arrivals_archive_processed_files(spark, tmp_dir):
     assert got == [1, 2]
     # files of completed batches are moved out of the landing folder
     assert "a.txt" not in os.listdir(f"{tmp_dir}/zone/in")
+
+
+def test_clean_stream_with_watermark_dedup(spark, tmp_dir):
+    from dataclasses import replace
+    ddl = ("`Summons Number` long, `Issue Date` string, `Violation Time` string, "
+           "ts timestamp, Violation_County string")
+    rows = [(1, "01/05/2015", "0752A", "2015-01-05 07:52:00", "K"),
+            (1, "01/05/2015", "0752A", "2015-01-05 07:52:00", "K"),
+            (2, "01/05/2015", "0130P", "2015-01-05 13:30:00", "Q")]
+    df = spark.createDataFrame(rows, ddl.replace("ts timestamp", "ts string")) \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    topic = f"{tmp_dir}/wm-topic"
+    write_messages(df, topic, "citations")
+    msgs, _ = decode_messages(message_stream(spark, topic), ddl)
+    spec = replace(PARKING_SPEC, stream_watermark=("ts", "1 hour"))
+    run_available_now(clean(msgs, spec), f"{tmp_dir}/wm-out", f"{tmp_dir}/wm-ckpt")
+    out = spark.read.parquet(f"{tmp_dir}/wm-out")
+    assert out.count() == 2 and sorted(r["Time bin"] for r in out.collect()) == [2, 4]
