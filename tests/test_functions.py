@@ -159,3 +159,24 @@ def test_paths(spark):
                                "p string")
     rows = df.select(label_from_path("p", "./images/train/([^/]+)"), file_stem("p")).collect()
     assert [tuple(r) for r in rows] == [("cat", "12"), ("", "y"), ("", "nolabel")]
+
+
+def test_png_bytes_are_valid(spark):
+    import struct
+    import zlib
+    from spindle.functions.images import png_rgba, to_byte_values
+    px = list(range(0, 256, 8))[:32] + [255] * 16  # 3 x 4 RGBA = 48 values
+    df = spark.createDataFrame([([v / 255.0 for v in px],)], "a array<double>")
+    b = bytes(df.select(png_rgba(to_byte_values("a", 0.0, 1.0), 4, 3)).first()[0])
+    assert b[:8] == bytes.fromhex("89504E470D0A1A0A")
+    pos, chunks = 8, {}
+    while pos < len(b):
+        ln = struct.unpack(">I", b[pos:pos + 4])[0]
+        kind, data = b[pos + 4:pos + 8], b[pos + 8:pos + 8 + ln]
+        assert zlib.crc32(kind + data) == struct.unpack(">I", b[pos + 8 + ln:pos + 12 + ln])[0]
+        chunks[kind] = data
+        pos += 12 + ln
+    assert struct.unpack(">II", chunks[b"IHDR"][:8]) == (4, 3)
+    raw = zlib.decompress(chunks[b"IDAT"])  # checks the Adler-32 too
+    rows = [raw[i * 17:(i + 1) * 17] for i in range(3)]
+    assert all(r[0] == 0 for r in rows) and b"".join(r[1:] for r in rows) == bytes(px)
