@@ -226,3 +226,27 @@ def test_edge_cases_quotes_null_keys_maps(spark):
     from spindle.functions import chw_to_hwc
     n = spark.createDataFrame([(None,)], "a array<double>")
     assert n.select(chw_to_hwc("a", 1, 1, 2)).first()[0] is None
+
+
+def test_approx_quartiles_within_rank_error(spark):
+    from spindle.operators.profile import quartiles
+    from spindle.operators.quantile import approx_quantiles
+    x = np.arange(10_000, dtype=float)
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    q = approx_quantiles(df, ["x"], [0.25, 0.5], accuracy=1000)
+    assert abs(q[("x", 0.5)] - 5000) <= 10_000 / 1000 + 1
+    row = quartiles(df, ["x"], exact=False).first()
+    assert abs(row["q1"] - 2500) <= 11 and abs(row["q3"] - 7500) <= 11
+
+
+def test_fit_transform_on_train_only_and_metrics_frame(spark):
+    from spindle.operators.features import assembler, fit_transform, minmax_scaler, vector_columns
+    from spindle.sources.readers import metrics_frame
+    df = spark.createDataFrame([(0.0,), (10.0,), (20.0,)], "x double")
+    train = df.where("x <= 10")
+    _, tr, full = fit_transform([assembler(["x"], "v"), minmax_scaler("v", "s")], train, df)
+    got = sorted(r["s0"] for r in vector_columns(full, "s", ["s0"]).collect())
+    assert got == [0.0, 1.0, 2.0]  # the test value lies outside the train range
+    assert tr.count() == 2
+    m = metrics_frame(spark, [(0, 0.5)], "batch_id long, accuracy double")
+    assert m.first()["accuracy"] == 0.5
