@@ -60,3 +60,10 @@ def test_fresh_stage_list_per_model_and_save_load(spark, small, tmp_dir):
 def test_grids_have_the_expected_sizes():
     g = classifier_grids(logistic_regression(), random_forest(), naive_bayes(), decision_tree())
     assert {k: len(v[1]) for k, v in g.items()} == {"lr": 9, "rf": 18, "nb": 3, "dt": 2}
+
+
+def test_index_to_string_from_column_metadata(small):
+    from spindle.operators.features import index_to_string
+    indexed = string_indexer(["state"]).fit(small).transform(small)
+    back = index_to_string("state_idx", "state_back").transform(indexed)  # labels from metadata
+    assert all(r["state"] == r["state_back"] for r in back.collect())
