@@ -62,7 +62,7 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
         if mn is None:
             out[prefix + c] = F.lit(None).cast("double")
         elif mx == mn:
-            out[prefix + c] = F.lit(0.5)
+            out[prefix + c] = F.when(x.isNotNull(), F.lit(0.5))
         else:
             # (x - min) * (1 / range): the ML scaler's exact arithmetic
             out[prefix + c] = (x - F.lit(mn)) * F.lit(1.0 / (mx - mn))
