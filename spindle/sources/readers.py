@@ -46,7 +46,11 @@ def load_table(spark: SparkSession, name_or_path: str, fmt: str | None = None,
     """SRC-05: a table by catalog name, or a path in any file format; JDBC
     and other connectors go through ``fmt`` + ``options``."""
     if fmt is None:
-        if spark.catalog.tableExists(name_or_path):
+        try:
+            is_table = "/" not in name_or_path and spark.catalog.tableExists(name_or_path)
+        except Exception:  # not a valid table identifier: treat it as a path
+            is_table = False
+        if is_table:
             return spark.read.table(name_or_path)
         fmt = "parquet"
     reader = spark.read.format(fmt).options(**(options or {}))

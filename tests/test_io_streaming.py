@@ -226,3 +226,12 @@ def test_clean_stream_with_watermark_dedup(spark, tmp_dir):
     run_available_now(clean(msgs, spec), f"{tmp_dir}/wm-out", f"{tmp_dir}/wm-ckpt")
     out = spark.read.parquet(f"{tmp_dir}/wm-out")
     assert out.count() == 2 and sorted(r["Time bin"] for r in out.collect()) == [2, 4]
+
+
+def test_load_table_by_path_and_by_view(spark, tmp_dir):
+    from spindle.sources.readers import load_table, register_view
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    df.write.mode("overwrite").parquet(f"{tmp_dir}/t.parquet")
+    assert load_table(spark, f"{tmp_dir}/t.parquet").count() == 2
+    register_view(df, "spindle_test_view")
+    assert load_table(spark, "spindle_test_view").count() == 2
