@@ -97,7 +97,7 @@ def score_report(models: dict, splits: dict, label: str = "label") -> DataFrame:
 
 
 def cross_validate(estimator, grid, train: DataFrame, label: str = "label", folds: int = 3,
-                   seed: int = 7, parallelism: int = 4):
+                   seed: int = 7, parallelism: int = 8):
     """MLT-05: grid x k-fold CV on accuracy, refit of the best point."""
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                            metricName="accuracy")

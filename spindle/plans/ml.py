@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import ampm_text_from_ts, format_us_date, parse_json
 from ..operators.clean import CleanSpec, clean, feature_columns
 from ..operators.features import (TEXT_FEATURES, assembler, fold_rare, index_to_string,
-                                  minmax_scale, string_indexer, text_features)
+                                  minmax_scale, string_indexer, text_features,
+                                  without_features)
 from ..operators.models import (cross_validate, decision_tree, feature_importances,
                                 logistic_regression, naive_bayes, persist, random_forest,
                                 classifier_grids, score_report, train_pipelines)
@@ -160,20 +161,21 @@ def train_eval(spark, sf_dir, num_trees: int = 500, max_bins: int = 10000):
     return score_report(loaded, {"train": train, "test": test})
 
 
-def _text_training_frame(spark, sf_dir):
+def _text_training_frame(spark, sf_dir, drop=()):
     docs = read_table(spark, sf_dir, "documents", spread_input=True).select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     # Both sides may be large: a plain equi-join; AQE turns it into a
     # broadcast join only when the runtime size of a side is under the limit.
-    data = text_features(labels.join(docs, "doc_id")).drop("text")
-    return assembler(TEXT_FEATURES).transform(data)
+    data = without_features(text_features(labels.join(docs, "doc_id")).drop("text"), drop)
+    return assembler([c for c in TEXT_FEATURES if c not in drop]).transform(data)
 
 
 @query("cv_models", "MLT-03 MLT-04 MLT-05 FEA-07 UDF-07")
 def cv_models(spark, sf_dir):
     """The four classifiers with their grids and 3-fold CV over text-count
     features of labelled documents; best point refit; train/test accuracy."""
-    data = _text_training_frame(spark, sf_dir)
+    # feature ablation (FEA-07): the digit count is left out of this run
+    data = _text_training_frame(spark, sf_dir, drop=("n_digits",))
     train, test = persist(*[f for f in hash_split(data, "doc_id", 80)])
     lr, rf = logistic_regression(maxIter=100), random_forest(numTrees=3, maxDepth=2, maxBins=32)
     nb, dt = naive_bayes(), decision_tree()
