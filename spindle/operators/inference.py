@@ -32,6 +32,12 @@ def make_inference_udf(loader: Callable[[], Callable[[np.ndarray], pd.DataFrame]
                        return_type: StructType | str, batch_size: int = 64):
     """UDF-04/05: ``loader()`` returns ``predict(matrix) -> DataFrame`` and is
     called once per task; inputs arrive as Arrow batches of array values."""
+    from pyspark.sql import SparkSession
+
+    from ..session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
 
     @F.pandas_udf(return_type)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -226,6 +226,8 @@ def image_sizes(spark, sf_dir):
     and the Arrow image-size UDF reads the dimensions back from the bytes."""
     from ..functions.images import png_rgba, to_byte_values
     from ..operators.inference import image_size
+    from ..session import ship_package
+    ship_package(spark)
     e = read_table(spark, sf_dir, "embeddings")
     png = png_rgba(to_byte_values(chw_to_hwc("embedding", 4, 4, 4), -1.0, 1.0), 4, 4)
     imgs = e.select("vec_id", "label", png.alias("content"))

@@ -37,6 +37,39 @@ DEFAULT_CONF = {
 }
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``spindle`` importable in the Python workers of every executor
+    (Arrow UDFs are pickled by reference to this package).  The package is
+    zipped once on the driver and handed to ``SparkContext.addPyFile``, which
+    copies it to every executor; idempotent per SparkContext."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import hashlib
+    import io
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in sorted(os.walk(pkg_dir)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    data = buf.getvalue()
+    # the zip is a driver-side artifact that Spark itself distributes
+    path = os.path.join(tempfile.gettempdir(), f"spindle-{hashlib.sha1(data).hexdigest()[:12]}.zip")
+    if not os.path.exists(path):
+        with open(path, "wb") as f:
+            f.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def get_spark(master: str | None = None, app: str = "spindle",
               shuffle_partitions: int | None = None,
               conf: dict | None = None) -> SparkSession:
@@ -55,6 +88,7 @@ def get_spark(master: str | None = None, app: str = "spindle",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
