@@ -250,3 +250,14 @@ def test_fit_transform_on_train_only_and_metrics_frame(spark):
     assert tr.count() == 2
     m = metrics_frame(spark, [(0, 0.5)], "batch_id long, accuracy double")
     assert m.first()["accuracy"] == 0.5
+
+
+def test_summary_matches_describe(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame(pd.DataFrame({"a": rng.normal(size=300), "b": rng.integers(0, 9, 300)}))
+    desc = {r["summary"]: r for r in df.describe("a", "b").collect()}
+    for r in summary(df, ["a", "b"]).collect():
+        c = r["column"]
+        assert r["count"] == int(desc["count"][c])
+        for stat in ("mean", "stddev", "min", "max"):
+            assert math.isclose(r[stat], float(desc[stat][c]), rel_tol=1e-9)
