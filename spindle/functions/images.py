@@ -3,8 +3,9 @@ UDF-03 / INF-03 test data derived from the vector table).
 
 ``png_rgba`` writes a valid 8-bit RGBA PNG: signature, IHDR, one IDAT chunk
 holding a zlib stream with a single stored (uncompressed) deflate block, and
-IEND.  Chunk CRCs use Spark's ``crc32``; the zlib Adler-32 is an
-``aggregate`` over the byte array.  Stored blocks hold at most 65,535 bytes,
+IEND.  The IDAT CRC uses Spark's ``crc32``; the zlib Adler-32 and the byte
+text come from one ``aggregate`` over the byte array (the IHDR chunk is
+constant for given dimensions and is a literal).  Stored blocks hold at most 65,535 bytes,
 so images up to that many raw bytes (plus one filter byte per row) are
 supported - enough for thumbnails; larger images need a real encoder.
 """
@@ -34,16 +35,6 @@ def _le16(n: int) -> str:
     return f"{n & 0xFF:02X}{(n >> 8) & 0xFF:02X}"
 
 
-def _bytes(arr: Column) -> Column:
-    """array<int> of byte values 0..255 -> binary."""
-    return F.unhex(F.array_join(F.transform(arr, lambda b: F.lpad(F.hex(b), 2, "0")), ""))
-
-
-def _chunk(kind: str, data: Column) -> Column:
-    typed = F.concat(F.unhex(F.lit(kind.encode().hex())), data)
-    return F.concat(_be32(F.length(data)), typed, _be32(F.crc32(typed)))
-
-
 def to_byte_values(a, lo: float, hi: float) -> Column:
     """Floats in ``[lo, hi]`` -> ints 0..255 (clamped, rounded)."""
     scale = 255.0 / (hi - lo)
@@ -51,8 +42,23 @@ def to_byte_values(a, lo: float, hi: float) -> Column:
         F.round((x.cast("double") - F.lit(lo)) * F.lit(scale)), F.lit(0.0)), F.lit(255.0)).cast("int"))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body`` (a
+    one-element ``transform``; higher-order arguments are not deduplicated
+    by the optimizer, so repeating the expression would recompute it)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _ihdr_chunk(width: int, height: int) -> str:
+    """The IHDR chunk as hex: constant for given dimensions."""
+    import zlib
+    body = b"IHDR" + width.to_bytes(4, "big") + height.to_bytes(4, "big") + bytes([8, 6, 0, 0, 0])
+    return (len(body) - 4).to_bytes(4, "big").hex() + body.hex() + zlib.crc32(body).to_bytes(4, "big").hex()
+
+
 def png_rgba(pixels, width: int, height: int) -> Column:
-    """Channel-last (H, W, 4) byte values -> PNG bytes."""
+    """Channel-last (H, W, 4) byte values -> PNG bytes; every intermediate
+    value is computed once per row."""
     row_len = width * 4
     raw_len = height * (row_len + 1)
     if raw_len > 65535:
@@ -62,13 +68,23 @@ def png_rgba(pixels, width: int, height: int) -> Column:
     raw = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(height - 1)),
                                 lambda r: F.concat(F.array(F.lit(0)),
                                                    F.slice(px, r * row_len + 1, row_len))))
-    # Adler-32: a = 1 + sum(d), b = n + sum((n - i) * d_i), both mod 65521
-    a = (F.lit(1) + F.aggregate(raw, F.lit(0).cast("bigint"), lambda acc, d: acc + d)) % ADLER_MOD
-    b = (F.lit(raw_len) + F.aggregate(F.transform(raw, lambda d, i: (F.lit(raw_len) - i) * d),
-                                      F.lit(0).cast("bigint"), lambda acc, v: acc + v)) % ADLER_MOD
-    adler = b * 65536 + a
-    stored = F.concat(F.unhex(F.lit(ZLIB_HEADER + "01" + _le16(raw_len) + _le16(raw_len ^ 0xFFFF))),
-                      _bytes(raw), _be32(adler))
-    ihdr = F.concat(_be32(F.lit(width)), _be32(F.lit(height)), F.unhex(F.lit("0806000000")))
-    return F.concat(F.unhex(F.lit(PNG_SIGNATURE)), _chunk("IHDR", ihdr), _chunk("IDAT", stored),
+    # one pass: running byte sum s, Adler b = sum of (1 + s) after each byte, hex text
+    start = F.struct(F.lit(0).cast("bigint").alias("s"), F.lit(0).cast("bigint").alias("b"),
+                     F.lit("").alias("h"))
+
+    def step(acc, d):
+        s = acc["s"] + d
+        return F.struct(s.alias("s"), (acc["b"] + s + 1).alias("b"),
+                        F.concat(acc["h"], F.lpad(F.hex(d), 2, "0")).alias("h"))
+
+    def finish(acc):
+        adler = (acc["b"] % ADLER_MOD) * 65536 + (acc["s"] + 1) % ADLER_MOD
+        return F.concat(F.unhex(F.lit(ZLIB_HEADER + "01" + _le16(raw_len) + _le16(raw_len ^ 0xFFFF))),
+                        F.unhex(acc["h"]), _be32(adler))
+
+    stored = F.aggregate(raw, start, step, finish)
+    idat_len = 2 + 5 + raw_len + 4
+    idat = _let(F.concat(F.unhex(F.lit(b"IDAT".hex())), stored),
+                lambda t: F.concat(F.unhex(F.lit(f"{idat_len:08X}")), t, _be32(F.crc32(t))))
+    return F.concat(F.unhex(F.lit(PNG_SIGNATURE + _ihdr_chunk(width, height))), idat,
                     F.unhex(F.lit(IEND_CHUNK)))
