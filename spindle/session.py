@@ -88,7 +88,10 @@ def get_spark(master: str | None = None, app: str = "spindle",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ship_package(spark)
+    try:
+        ship_package(spark)
+    except Exception:  # shipping is only needed by the Arrow UDFs
+        pass
     return spark
 
 
