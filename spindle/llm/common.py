@@ -23,7 +23,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: lost executors recompute from files, and what is used
     twice is computed once."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -13,6 +13,7 @@ checksum, magic.  Numbers are little-endian.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,8 +33,8 @@ from .common import new_file, open_file, staged, text_or_empty
 MAGIC = b"rANS\x01\x00\x00\x00"
 SCALE_BITS = 18  # frequencies sum to 2**18: at most half of it may be symbols
 LOW = np.uint64(1 << 31)  # states stay in [2**31, 2**63), refilled by 32 bits
-LANES = 1024
-BLOCK_TOKENS = 1 << 18
+LANES = 4096
+BLOCK_TOKENS = 1 << 20
 FILE_TOKENS = 1 << 26
 
 
@@ -125,40 +126,67 @@ def decode_block(data: bytes, table: SharedTable) -> np.ndarray:
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 
+# The same split for texts of Latin letters, in the standard library's faster engine; what differs there is looked for first.
+LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+NOT_LATIN = re.compile(r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u024f]")
+
+
 class PieceEncoder:
     """The ``tokenizers`` library's ids of whole texts, remembered by pre-token.
 
     Added tokens are cut out first, the text between is split as the library's
-    byte-level pre-tokenizer does, and only pre-tokens not met before go through
-    the library.  At most ``remember`` are kept."""
+    byte-level pre-tokenizer does, and pre-tokens not met before go through the
+    library.  At most ``remember`` are kept.  Ids are little-endian, of 2 bytes
+    where the vocabulary allows."""
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.added = {k: np.array([i], "<u4").tobytes() for k, i in added.items()}
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.size = max([*added.values(), self.tokenizer.get_vocab_size(with_added_tokens=True) - 1]) + 1
+        self.dtype = ids_dtype(self.size)
+        self.added = {k: np.array([i], self.dtype).tobytes() for k, i in added.items()}
+        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.known: dict[str, bytes] = {}
         self.remember = remember
 
-    def pieces(self, text: str) -> list[str]:
+    def learn(self, new: list[str]) -> None:
+        """Ids of pre-tokens from the library; those that begin with a blank are sent side by side."""
+        alone = [p for p in new if p[0] != " " or p.isspace()]
+        blank = [p for p in new if p[0] == " " and not p.isspace()]
+        rows = [blank[i:i + 64] for i in range(0, len(blank), 64)]
+        for row, e in zip(rows, self.tokenizer.encode_batch(["".join(r) for r in rows], add_special_tokens=False), strict=True):
+            ids, words = np.array(e.ids, self.dtype), np.array(e.word_ids)
+            cuts = [0, *(np.flatnonzero(words[1:] != words[:-1]) + 1).tolist(), len(ids)]
+            if len(cuts) != len(row) + 1:  # not split as expected: one by one
+                alone += row
+                continue
+            data, step = ids.tobytes(), ids.itemsize
+            self.known.update((p, data[a * step:b * step]) for p, a, b in zip(row, cuts, cuts[1:], strict=False))
+        for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            self.known[p] = np.array(e.ids, self.dtype).tobytes()
+
+    def split(self, text: str) -> list[str]:
+        find = PIECES.findall if NOT_LATIN.search(text) else LATIN_PIECES.findall
         if self.specials is None or not any(s in text for s in self.added):
-            return PIECES.findall(text)
-        return list(chain.from_iterable([p] if p in self.added else PIECES.findall(p) for p in self.specials.split(text)))
+            return find(text)
+        return list(chain.from_iterable([p] if p in self.added else find(p) for p in self.specials.split(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces(t) for t in texts]
         if len(self.known) > self.remember:
-            self.known = {}
-        known = self.known
-        known.update(self.added)
-        new = list({p for pieces in split for p in pieces if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+            self.known.clear()
+        self.known.update(self.added)
+        get = self.known.get
+        split = [self.split(t) for t in texts]
+        ids = [[*map(get, pieces)] for pieces in split]
+        holes = [[j for j, x in enumerate(row) if x is None] for row in ids]
+        if unknown := list({pieces[j] for pieces, row in zip(split, holes, strict=True) for j in row}):
+            self.learn(unknown)
+        for pieces, row, gaps in zip(split, ids, holes, strict=True):
+            for j in gaps:
+                row[j] = get(pieces[j])
+        return [b"".join(row) for row in ids]
 
 
 @lru_cache(maxsize=2)
@@ -171,7 +199,8 @@ def piece_encoder(path: str) -> PieceEncoder:
 
 def tokenize(docs: DataFrame, path: str, end_id: int | None, rows: int = 256) -> DataFrame:
     """``doc_id, ids, ids_crc`` of every whole text, with ``end_id`` appended; null text: empty."""
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    dtype = piece_encoder(path).dtype
+    end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
@@ -184,16 +213,17 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None, rows: int = 256) ->
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, ids binary, ids_crc long")
 
 
-def count_ids(tokens: DataFrame) -> DataFrame:
+def ids_dtype(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def count_ids(tokens: DataFrame, size: int) -> DataFrame:
     """``id, n`` over all rows: each task counts its own ids, Spark adds the counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
+        counts = np.zeros(size, np.int64)
         for batch in batches:
-            for x in batch.column("ids"):
-                got = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
-                if len(got) > len(counts):
-                    counts = np.pad(counts, (0, len(got) - len(counts)))
-                counts[:len(got)] += got
+            for i in range(0, batch.num_rows, 256):
+                counts += np.bincount(np.frombuffer(b"".join(batch.column("ids").slice(i, 256).to_pylist()), ids_dtype(size)), minlength=size)
         there = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], ["id", "n"])
 
@@ -214,7 +244,7 @@ class FileWriter:
         self.at += len(data)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.held.append(np.frombuffer(ids, "<u4"))
+        self.held.append(np.frombuffer(ids, ids_dtype(len(self.table.freq))))
         self.docs.append((doc_id, len(self.held[-1])))
         self.size += len(self.held[-1])
         if self.size >= BLOCK_TOKENS:
@@ -311,14 +341,15 @@ def read_documents(blocks: DataFrame, table: bytes) -> DataFrame:
                 ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(tokens.tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(row["file_start"] + row["first_token"] + ends - counts), ids], ["doc_id", "start", "ids"])
 
-    spread = blocks.repartition(F.col("file"), F.col("offset"))
+    # a fixed number of partitions: the rows are small, so merging them by size would leave few tasks
+    spread = blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("file"), F.col("offset"))
     return spread.mapInArrow(run, "doc_id long, start long, ids binary")
 
 
 def table_of(tokens: DataFrame, size: int) -> bytes:
     """The shared table from counts over all ids; the driver gets one row per vocabulary entry at most."""
     counts = np.zeros(size, np.int64)
-    for row in count_ids(tokens).collect():
+    for row in count_ids(tokens, size).collect():
         counts[row["id"]] = row["n"]
     return SharedTable(counts).to_bytes()
 
