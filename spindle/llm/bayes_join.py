@@ -283,7 +283,8 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, tol
     candidates = components(candidate_edges(nodes, threshold, tolerance))
     members = staged(nodes.join(candidates, "node").select("node", "root", "least", "copies", "n_shingles"), "members")
     sizes = members.groupBy("root").agg(F.sum("n_shingles").alias("root_size"))
-    wanted = members.select(F.col("least.doc_id").alias("w"), F.col("least.text_key").alias("k"))
+    # one row per candidate: it grows with the corpus, so it is never broadcast
+    wanted = members.select(F.col("least.doc_id").alias("w"), F.col("least.text_key").alias("k")).hint("merge")
     sets = set_rows(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w")) & (F.col("text_key") == F.col("k")), "left_semi"), width).dropDuplicates(["node"])
     parts = in_blocks(members.join(sizes, "root").join(sets, "node"), "root", "root_size", "node", 1_500_000)
     pairs = staged(verify(parts.select("root", "left", "right", "own", "node", "copies", "shingles"), threshold), "verified")
