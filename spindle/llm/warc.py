@@ -268,7 +268,9 @@ def read_archives(archives: DataFrame, payloads: bool = True, rows_per_batch: in
         if held:
             yield pa.RecordBatch.from_pylist(held, schema)
 
-    return archives.select("archive").repartition(F.col("archive")).mapInArrow(read, RECORDS)
+    # a fixed number of partitions: the rows are small, so merging them by size would leave one task
+    partitions = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return archives.select("archive").repartition(partitions, F.col("archive")).mapInArrow(read, RECORDS)
 
 
 def pages_through_archives(pages: DataFrame, min_bytes: int = 0, folder: str | None = None) -> DataFrame:
