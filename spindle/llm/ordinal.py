@@ -1,7 +1,9 @@
 """Quality classifier: ordinal regression with a cumulative logit link.
 
 All grades share one weight per hashed text feature; ordered thresholds part
-the grades: P(grade <= k) = sigmoid(threshold_k - score).
+the grades: P(grade <= k) = sigmoid(threshold_k - score).  Weights are at most
+0: features count as defects, so a long text gains nothing by its length and
+one without known defects keeps the best grade.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from .common import text_batches, text_or_empty
 from .shingles import mix, word_hashes
 
-FEATURE_BITS = 18
+FEATURE_BITS = 21
+MIN_DOCS = 8  # a feature of fewer documents of the sample has no weight
 MAX_LABELLED = 20_000  # rows that the model is fitted on at most; every document is scored
 
 
@@ -31,9 +34,16 @@ def shape_values() -> np.ndarray:
     return values
 
 
-SHAPES = shape_values()
-LOWER = np.arange(1, 257, dtype=np.uint64)
-LOWER[ord("A"):ord("Z") + 1] = LOWER[ord("a"):ord("z") + 1]
+def letter_values() -> np.ndarray:
+    """What is hashed of each byte for a word itself: letters in lower case (and all bytes outside ASCII)."""
+    values = np.arange(1, 257, dtype=np.uint64)
+    values[:0x80] = 0
+    for first, last, low in (("a", "z", "a"), ("A", "Z", "a")):
+        values[ord(first):ord(last) + 1] = np.arange(ord(low), ord(low) + 26)
+    return values
+
+
+SHAPES, LETTERS = shape_values(), letter_values()
 CAPITALS = np.zeros(256, np.uint64)
 CAPITALS[ord("A"):ord("Z") + 1] = 1
 
@@ -41,16 +51,25 @@ CAPITALS[ord("A"):ord("Z") + 1] = 1
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed features of each text, one list after another, and their numbers.
 
-    A text has its words (ASCII letters in lower case), the shapes of their other
-    characters and the patterns of their capitals."""
-    words, counts = word_hashes(texts, LOWER)
+    A text has its words (their letters alone, in lower case), the shapes of their
+    other characters, the patterns of their capitals, the logarithm of how many
+    words equal the word before, and the tenth of its words that are distinct."""
+    words, counts = word_hashes(texts, LETTERS)
     shapes, _ = word_hashes(texts, SHAPES)
     capitals, _ = word_hashes(texts, CAPITALS)
+    n = len(texts)
+    owner = np.repeat(np.arange(n), counts)
+    again = np.bincount(owner[1:][(words[1:] == words[:-1]) & (owner[1:] == owner[:-1])], minlength=n)
+    order = np.lexsort([words, owner])
+    fresh = np.ones(len(words), bool)
+    fresh[1:] = (words[order][1:] != words[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    tenth = 10 * np.bincount(owner[order][fresh], minlength=n) // np.maximum(counts, 1)
+    hashed = [words, mix(shapes + np.uint64(1)), mix(capitals + np.uint64(2)), mix(np.log2(again + 1).astype(np.uint64) + np.uint64(1000)), mix(tenth.astype(np.uint64) + np.uint64(2000))]
+    owners = [owner, owner, owner, np.flatnonzero(counts), np.flatnonzero(counts)]
+    hashed[3:] = [h[counts > 0] for h in hashed[3:]]
     shift = np.uint64(64 - FEATURE_BITS)
-    every = np.stack([words >> shift, mix(shapes + np.uint64(1)) >> shift, mix(capitals + np.uint64(2)) >> shift], axis=1).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    distinct = np.unique((owner[:, None] << FEATURE_BITS | every).reshape(-1))
-    return distinct & ((1 << FEATURE_BITS) - 1), np.bincount(distinct >> FEATURE_BITS, minlength=len(texts))
+    distinct = np.unique(np.concatenate([(o << FEATURE_BITS) | (h >> shift).astype(np.int64) for o, h in zip(owners, hashed, strict=True)]))
+    return distinct & ((1 << FEATURE_BITS) - 1), np.bincount(distinct >> FEATURE_BITS, minlength=n)
 
 
 def scores(ids: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -70,11 +89,15 @@ def cumulative(score: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return np.concatenate([np.ones((len(score), 1)), above], axis=1)
 
 
-def fit(ids: np.ndarray, counts: np.ndarray, grades: np.ndarray, n_grades: int, passes: int = 12, rate: float = 0.02, decay: float = 1e-4, batch: int = 256, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """``weights, thresholds`` by Adam over shuffled batches of the likelihood, classes weighted evenly.
+def fit(ids: np.ndarray, counts: np.ndarray, grades: np.ndarray, n_grades: int, passes: int = 12, rate: float = 0.05, sparse: float = 1e-3, decay: float = 1e-4, batch: int = 256, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """``weights, thresholds`` by Adam over shuffled batches of the likelihood, grades weighted evenly.
 
-    Thresholds are the first and positive steps, so they stay in order."""
+    Weights are kept at most 0 and drawn to it (``sparse``: of the absolute value,
+    ``decay``: of the square); the step size falls to 0.  Thresholds are the first
+    and positive steps, so they stay in order."""
     n, size = len(counts), 1 << FEATURE_BITS
+    kept = np.bincount(ids, minlength=size)[ids] >= MIN_DOCS
+    counts, ids = np.bincount(np.repeat(np.arange(n), counts)[kept], minlength=n), ids[kept]
     weights = np.zeros(size, np.float64)
     cut = np.concatenate([[-1.0], np.zeros(max(n_grades - 2, 0))])  # first threshold, logs of the steps
     if not n or n_grades < 2:
@@ -83,7 +106,7 @@ def fit(ids: np.ndarray, counts: np.ndarray, grades: np.ndarray, n_grades: int,
     balance = (n / np.maximum(share, 1) / (share > 0).sum())[grades]
     starts = np.cumsum(counts) - counts
     m, v, mc, vc = np.zeros(size), np.zeros(size), np.zeros(len(cut)), np.zeros(len(cut))
-    rng, step = np.random.default_rng(seed), 0
+    rng, step, steps = np.random.default_rng(seed), 0, passes * -(-n // batch)
     for _ in range(passes):
         order = rng.permutation(n)
         for at in range(0, n, batch):
@@ -104,15 +127,16 @@ def fit(ids: np.ndarray, counts: np.ndarray, grades: np.ndarray, n_grades: int,
             by_threshold[k, y + 1] -= slope[k, y + 1] / chance * w
             t = by_threshold[:, 1:n_grades].sum(axis=0)
             by_cut = np.cumsum(t[::-1])[::-1] * np.concatenate([[1.0], np.exp(cut[1:])])
+            own_rate = rate * (1 - step / steps)
             step += 1
             touched, where = np.unique(own, return_inverse=True)
-            g = np.bincount(where, weights=np.repeat(by_score, c)) + decay * weights[touched]
+            g = np.bincount(where, weights=np.repeat(by_score, c), minlength=len(touched)) + decay * weights[touched] + sparse * np.sign(weights[touched])
             m[touched] = 0.9 * m[touched] + 0.1 * g
             v[touched] = 0.999 * v[touched] + 0.001 * g * g
             fix1, fix2 = 1 - 0.9**step, 1 - 0.999**step
-            weights[touched] -= rate * (m[touched] / fix1) / (np.sqrt(v[touched] / fix2) + 1e-8)
+            weights[touched] = np.minimum(weights[touched] - own_rate * (m[touched] / fix1) / (np.sqrt(v[touched] / fix2) + 1e-8), 0)
             mc, vc = 0.9 * mc + 0.1 * by_cut, 0.999 * vc + 0.001 * by_cut**2
-            cut = cut - rate * (mc / fix1) / (np.sqrt(vc / fix2) + 1e-8)
+            cut = cut - own_rate * (mc / fix1) / (np.sqrt(vc / fix2) + 1e-8)
     return weights, np.cumsum(np.concatenate([cut[:1], np.exp(cut[1:])]))
 
 
@@ -121,8 +145,11 @@ def grade_of(quality: Column, toxic: Column) -> Column:
     return F.when(quality == 0, 0).when((quality == 1) & (toxic == 1), 1).when(quality == 1, 2).cast("int")
 
 
-def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_grades: int = 3) -> tuple[bytes, list[float]]:
-    """Weights (as 32-bit floats) and thresholds from rated documents (``doc_id, grade``).
+Model = tuple[list[int], list[float], list[float]]
+
+
+def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_grades: int = 3) -> Model:
+    """Features with a weight, their weights and the thresholds, from rated documents (``doc_id, grade``).
 
     At most ``max_rows`` ratings are used, chosen by a hash of ``doc_id``; repeated
     ratings of a document count once, the lowest.  One task fits the model, on the
@@ -143,27 +170,29 @@ def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_g
         rows = sorted((r["doc_id"], r["grade"], r["ids"]) for batch in batches for r in batch.to_pylist())  # any order of arrival gives one model
         lists = [np.frombuffer(x, "<u4").astype(np.int64) for _, _, x in rows]
         weights, thresholds = fit(np.concatenate([*lists, np.zeros(0, np.int64)]), np.array([len(x) for x in lists], np.int64), np.array([g for _, g, _ in rows], np.int64), n_grades)
-        yield pa.RecordBatch.from_arrays([pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([thresholds.tolist()], pa.list_(pa.float64()))], ["weights", "thresholds"])
+        some = np.flatnonzero(weights)
+        yield pa.RecordBatch.from_pylist([{"features": some.tolist(), "weights": weights[some].tolist(), "thresholds": thresholds.tolist()}],
+                                         pa.schema([("features", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64()))]))
 
     sampled = texts.mapInArrow(extract, "doc_id long, grade int, ids binary").repartition(1)
-    model = sampled.mapInArrow(learn, "weights binary, thresholds array<double>").collect()[0]
-    return bytes(model["weights"]), list(model["thresholds"])
+    return tuple(sampled.mapInArrow(learn, "features array<long>, weights array<double>, thresholds array<double>").collect()[0])
 
 
-def score_documents(docs: DataFrame, model: tuple[bytes, list[float]], at_least: int = 2, min_tail: float = 0.5) -> DataFrame:
+def score_documents(docs: DataFrame, model: Model, at_least: int = 2, min_tail: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with their columns, and ``expected_grade, tail_probability, selected``.
 
     ``tail_probability`` is that of grade ``at_least`` or more; a document is
     selected if it reaches ``min_tail``.  A null text is empty; a text without
     words has score 0.  Equal texts have equal scores.  Columns of ``docs`` with
     the new names are replaced."""
-    weights_data, thresholds = model
     docs = docs.drop("expected_grade", "tail_probability", "selected")
-    shared = docs.sparkSession.sparkContext.broadcast(weights_data)  # one float per hashed feature: 1 MB at 18 bits
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most one number per hashed feature
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, cuts = np.frombuffer(shared.value, "<f4"), np.array(thresholds)
+        some, values, cuts = map(np.array, shared.value)
+        weights = np.zeros(1 << FEATURE_BITS)
+        weights[some.astype(np.int64)] = values
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(columns.index("text")).to_pylist()]
             for first, held in text_batches(texts):

@@ -14,7 +14,7 @@ from .chat import format_conversations, read_back
 from .common import table
 from .minhash import fingerprints
 from .mixing import mix
-from .ordinal import grade_of, score_documents, train
+from .ordinal import Model, grade_of, score_documents, train
 from .rans import token_files
 from .warc import pages_through_archives
 
@@ -58,7 +58,7 @@ def op6_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, quality_model(spark, sf_dir)).drop("text")
 
 
-def quality_model(spark: SparkSession, sf_dir: str) -> tuple[bytes, list[float]]:
+def quality_model(spark: SparkSession, sf_dir: str) -> Model:
     """The classifier fitted on a bounded sample of the labelled documents."""
     labels = table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
     return train(table(spark, sf_dir, "documents", ["doc_id", "text"]), labels.select("doc_id", grade_of(labels["quality"], labels["toxic"]).alias("grade")))
