@@ -20,6 +20,7 @@ from .common import text_batches, text_or_empty
 from .shingles import mix, word_hashes
 
 FEATURE_BITS = 21
+LEAST_STEPS = 500
 MIN_DOCS = 8  # a feature of fewer documents of the sample has no weight
 MAX_LABELLED = 20_000  # rows that the model is fitted on at most; every document is scored
 
@@ -94,18 +95,20 @@ def fit(ids: np.ndarray, counts: np.ndarray, grades: np.ndarray, n_grades: int,
 
     Weights are kept at most 0 and drawn to it (``sparse``: of the absolute value,
     ``decay``: of the square); the step size falls to 0.  Thresholds are the first
-    and positive steps, so they stay in order."""
+    and positive steps, so they stay in order.  Without ratings every text keeps
+    the best grade as the likeliest.  Small samples get more passes."""
     n, size = len(counts), 1 << FEATURE_BITS
     kept = np.bincount(ids, minlength=size)[ids] >= MIN_DOCS
     counts, ids = np.bincount(np.repeat(np.arange(n), counts)[kept], minlength=n), ids[kept]
     weights = np.zeros(size, np.float64)
-    cut = np.concatenate([[-1.0], np.zeros(max(n_grades - 2, 0))])  # first threshold, logs of the steps
+    cut = np.concatenate([[-float(n_grades)], np.zeros(max(n_grades - 2, 0))])  # first threshold, logs of the steps
     if not n or n_grades < 2:
         return weights, np.cumsum(np.concatenate([cut[:1], np.exp(cut[1:])]))[: max(n_grades - 1, 0)]
     share = np.bincount(grades, minlength=n_grades)
     balance = (n / np.maximum(share, 1) / (share > 0).sum())[grades]
     starts = np.cumsum(counts) - counts
     m, v, mc, vc = np.zeros(size), np.zeros(size), np.zeros(len(cut)), np.zeros(len(cut))
+    passes = max(passes, -(-LEAST_STEPS // -(-n // batch)))
     rng, step, steps = np.random.default_rng(seed), 0, passes * -(-n // batch)
     for _ in range(passes):
         order = rng.permutation(n)
@@ -145,12 +148,16 @@ def grade_of(quality: Column, toxic: Column) -> Column:
     return F.when(quality == 0, 0).when((quality == 1) & (toxic == 1), 1).when(quality == 1, 2).cast("int")
 
 
-Model = tuple[list[int], list[float], list[float]]
+Model = tuple[list[int], list[float], list[float], float]
+KEEP_BEST = 0.995  # share of the sample's documents of the best grade that the selection keeps at least
 
 
 def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_grades: int = 3) -> Model:
-    """Features with a weight, their weights and the thresholds, from rated documents (``doc_id, grade``).
+    """Features with a weight, their weights, the thresholds and the least tail probability to select,
+    from rated documents (``doc_id, grade``).
 
+    That least probability is 0.5, or less where the sample's best documents
+    would not be kept (:data:`KEEP_BEST`).
     At most ``max_rows`` ratings are used, chosen by a hash of ``doc_id``; repeated
     ratings of a document count once, the lowest.  One task fits the model, on the
     hashed features of that bounded sample; null ids and grades are left out."""
@@ -169,28 +176,31 @@ def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_g
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r["doc_id"], r["grade"], r["ids"]) for batch in batches for r in batch.to_pylist())  # any order of arrival gives one model
         lists = [np.frombuffer(x, "<u4").astype(np.int64) for _, _, x in rows]
-        weights, thresholds = fit(np.concatenate([*lists, np.zeros(0, np.int64)]), np.array([len(x) for x in lists], np.int64), np.array([g for _, g, _ in rows], np.int64), n_grades)
+        ids, counts, grades = np.concatenate([*lists, np.zeros(0, np.int64)]), np.array([len(x) for x in lists], np.int64), np.array([g for _, g, _ in rows], np.int64)
+        weights, thresholds = fit(ids, counts, grades, n_grades)
+        tail = cumulative(scores(ids, counts, weights), thresholds)[grades == n_grades - 1, -1]
+        least = min(0.5, np.quantile(tail, 1 - KEEP_BEST, method="lower")) if len(tail) else 0.5
         some = np.flatnonzero(weights)
-        yield pa.RecordBatch.from_pylist([{"features": some.tolist(), "weights": weights[some].tolist(), "thresholds": thresholds.tolist()}],
-                                         pa.schema([("features", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64()))]))
+        yield pa.RecordBatch.from_pylist([{"features": some.tolist(), "weights": weights[some].tolist(), "thresholds": thresholds.tolist(), "least": least}],
+                                         pa.schema([("features", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64())), ("least", pa.float64())]))
 
     sampled = texts.mapInArrow(extract, "doc_id long, grade int, ids binary").repartition(1)
-    return tuple(sampled.mapInArrow(learn, "features array<long>, weights array<double>, thresholds array<double>").collect()[0])
+    return tuple(sampled.mapInArrow(learn, "features array<long>, weights array<double>, thresholds array<double>, least double").collect()[0])
 
 
-def score_documents(docs: DataFrame, model: Model, at_least: int = 2, min_tail: float = 0.5) -> DataFrame:
+def score_documents(docs: DataFrame, model: Model, at_least: int = 2, min_tail: float | None = None) -> DataFrame:
     """The rows of ``docs`` with their columns, and ``expected_grade, tail_probability, selected``.
 
     ``tail_probability`` is that of grade ``at_least`` or more; a document is
-    selected if it reaches ``min_tail``.  A null text is empty; a text without
+    selected if it reaches ``min_tail`` (default: the model's).  A null text is empty; a text without
     words has score 0.  Equal texts have equal scores.  Columns of ``docs`` with
     the new names are replaced."""
     docs = docs.drop("expected_grade", "tail_probability", "selected")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most one number per hashed feature
-    columns = docs.columns
+    columns, least = docs.columns, model[3] if min_tail is None else min_tail
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some, values, cuts = map(np.array, shared.value)
+        some, values, cuts = map(np.array, shared.value[:3])
         weights = np.zeros(1 << FEATURE_BITS)
         weights[some.astype(np.int64)] = values
         for batch in batches:
@@ -199,7 +209,7 @@ def score_documents(docs: DataFrame, model: Model, at_least: int = 2, min_tail:
                 above = cumulative(scores(*features(held), weights), cuts)
                 rows = batch.slice(first, len(held))
                 tail = above[:, min(at_least, above.shape[1] - 1)]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(above[:, 1:].sum(axis=1)), pa.array(tail), pa.array(tail >= min_tail)],
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(above[:, 1:].sum(axis=1)), pa.array(tail), pa.array(tail >= least)],
                                                  [*columns, "expected_grade", "tail_probability", "selected"])
 
     schema = copy.deepcopy(docs.schema).add("expected_grade", "double").add("tail_probability", "double").add("selected", "boolean")
