@@ -15,7 +15,7 @@ from pyspark.ml.feature import StringIndexer  # noqa: E402
 import spindle as sp  # noqa: E402
 from spindle.functions import click_hour_bin, hour_from_log_line  # noqa: E402
 from spindle.operators.clean import drop_header_lines  # noqa: E402
-from spindle.operators.features import assembler, fold_rare, string_indexer  # noqa: E402
+from spindle.operators.features import assembler, category_bins, string_indexer  # noqa: E402
 from spindle.operators.models import logistic_regression, score_report, train_pipelines  # noqa: E402
 from spindle.sinks.writers import write_messages  # noqa: E402
 from spindle.sources.readers import read_csv, read_lines  # noqa: E402
@@ -45,7 +45,7 @@ def run(spark) -> dict:
 
     # 3. index -> assemble -> train -> evaluate (a fresh stage list per model)
     label = StringIndexer(inputCol="Violation_County", outputCol="label").fit(df)
-    data = fold_rare(df, ["Registration State"], max_categories=10000)
+    data, max_bins = df, category_bins(df, ["Registration State"], limit=10000)
     stages = [label, string_indexer(["Registration State"]),
               assembler(["Issue Day", "Issue Month", "Issue Year", "Time bin", "Registration State_idx"])]
     models = train_pipelines(stages, {"lr": logistic_regression(maxIter=10)}, data)

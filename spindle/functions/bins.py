@@ -47,8 +47,10 @@ def bin_by(x, edges: Sequence[float], labels: Sequence, default) -> Column:
 
 
 def click_hour_bin(hour) -> Column:
-    """SCL-04: hour of day -> ``"0-6" | "6-12" | "12-18" | "18-24"``."""
-    return bin_by(hour, HOUR_BIN_EDGES, HOUR_BIN_LABELS, HOUR_BIN_DEFAULT)
+    """SCL-04: hour of day -> ``"0-6" | "6-12" | "12-18" | "18-24"``; an unknown
+    hour has no bin (null)."""
+    hour = _col(hour)
+    return F.when(hour.isNotNull(), bin_by(hour, HOUR_BIN_EDGES, HOUR_BIN_LABELS, HOUR_BIN_DEFAULT))
 
 
 def hour_from_log_line(line) -> Column:

@@ -7,7 +7,6 @@ fitted state (labels, min/max vectors) reaches the driver.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -69,39 +68,19 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     return df.withColumns(out)
 
 
-OTHER = "__other__"
+def category_bins(df: DataFrame, cols: Sequence[str], limit: int) -> int:
+    """The ``maxBins`` that a tree over the indexed text columns needs: the
+    largest number of distinct values plus the indexer's slot for unseen ones.
 
-
-def frequent_values(df: DataFrame, cols: Sequence[str], max_categories: int) -> dict[str, list]:
-    """The ``max_categories - 1`` most frequent values of each text column
-    (ties by value), from one scan: the ``(column, value)`` counts are a
-    partial aggregate and the per-column cut is a ``row_number`` window with
-    a partial group limit, so at most ``columns x max_categories`` rows reach
-    the driver."""
-    from pyspark.sql import Window
-
-    from .profile import frequency_many
-    counts = frequency_many(df, cols)
-    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") < max_categories)
-    out: dict[str, list] = {c: [] for c in cols}
-    for r in top.select("column", "value").collect():
-        out[r["column"]].append(r["value"])
-    return out
-
-
-def fold_rare(df: DataFrame, cols: Sequence[str], max_categories: int) -> DataFrame:
-    """Keep the ``max_categories - 1`` most frequent values of each text
-    column and fold the rest (not null) into ``__other__``, so a tree's
-    ``maxBins`` always covers the category count however many distinct
-    values the data holds."""
-    keep = frequent_values(df, cols, max_categories)
-    for c, vals in keep.items():
-        if len(vals) >= max_categories - 1:
-            log.info("fold_rare: %s has more than %d values; the rest become %r",
-                     c, max_categories - 1, OTHER)
-    return df.withColumns({c: F.when(F.col(c).isNull() | F.col(c).isin(keep[c]), F.col(c))
-                           .otherwise(F.lit(OTHER)) for c in cols})
+    One aggregate with one row; no value is merged or dropped.  Raises when a
+    column has more categories than ``limit`` allows, naming it."""
+    if not cols:
+        return 2
+    row = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
+    for c in cols:
+        if row[c] + 1 > limit:
+            raise ValueError(f"column {c!r} has {row[c]} categories; with the slot for unseen values that is above the limit of {limit}")
+    return max(2, max(row[c] for c in cols) + 1)
 
 
 def fit_transform(stages: Sequence, train: DataFrame, *frames: DataFrame):
@@ -122,7 +101,6 @@ def without_features(df: DataFrame, drop: Sequence[str]) -> DataFrame:
     return df.drop(*drop)
 
 
-log = logging.getLogger(__name__)
 
 TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_upper", "n_punct"]
 

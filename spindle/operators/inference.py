@@ -63,10 +63,11 @@ def fit_centroids(df: DataFrame, vec: str, label: str) -> DataFrame:
 
 def centroid_matrix(centroids: DataFrame, label: str) -> tuple[list, np.ndarray]:
     """Collect the fitted centroids (size checked first) as labels, matrix."""
-    # One job: at most MAX_MODEL_VALUES + 1 rows ever reach the driver.
-    rows = centroids.limit(MAX_MODEL_VALUES + 1).collect()
-    if len(rows) > MAX_MODEL_VALUES:
-        raise ValueError("centroid model is above the broadcast bound")
+    # the number of values is known before any of them reaches the driver
+    n = centroids.count()
+    if n > MAX_MODEL_VALUES:
+        raise ValueError(f"centroid model has {n} values, above the broadcast bound of {MAX_MODEL_VALUES}")
+    rows = centroids.collect()
     labels = sorted({r[label] for r in rows})
     dim = max(r["pos"] for r in rows) + 1
     mat = np.full((len(labels), dim), np.nan)

@@ -92,7 +92,8 @@ def summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """AGG-08: equal-width histogram per numeric column, numpy's rule: edges
     from min to max, last bin closed; a constant column uses the range
-    ``[v - 0.5, v + 0.5]``.  Empty bins are reported with count 0.
+    ``[v - 0.5, v + 0.5]`` (or a billionth of ``v`` on each side, where that is
+    more).  Empty bins are reported with count 0; an infinite value is an error.
 
     The per-column range frame has one row per column (bounded by the schema,
     not the data) and is broadcast into the value scan."""
@@ -100,10 +101,13 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     long = (df.select([F.col(c).cast("double").alias(c) for c in cols])
             .unpivot([], cols, "column", "x")
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
+    pad = F.greatest(F.lit(0.5), F.abs("mn") * 1e-9)
+    finite = F.when((F.abs("mn") < float("inf")) & (F.abs("mx") < float("inf")), F.col("mn")).otherwise(
+        F.raise_error(F.concat(F.lit("histogram: infinite value in "), "column")).cast("double"))
     rng = (long.groupBy("column").agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
            .select("column",
-                   F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-                   F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
+                   F.when(F.col("mn") == F.col("mx"), F.col("mn") - pad).otherwise(finite).alias("lo"),
+                   F.when(F.col("mn") == F.col("mx"), F.col("mx") + pad).otherwise(F.col("mx")).alias("hi")))
     b = F.least(F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))),
                 F.lit(bins - 1)).cast("int")
     counts = (long.join(F.broadcast(rng), "column")

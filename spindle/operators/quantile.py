@@ -41,13 +41,16 @@ from pyspark.sql import functions as F
 def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     vals = df.select([F.col(c).cast("double").alias(c) for c in cols])
     long = vals.unpivot([], list(cols), "column", "x")
-    return long.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    return long.where(F.abs("x") < float("inf"))  # nulls, NaN and infinities are left out
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    buckets: int = 4096, max_collect: int = 50_000,
+                    buckets: int = 4096, max_collect: int = 500,
                     sketch_accuracy: int | None = None) -> dict:
-    """Return ``{(column, p): value}``; value is None for an empty column."""
+    """Return ``{(column, p): value}``; value is None for an empty column.
+
+    Infinities are counted apart and take the lowest and highest ranks; every
+    pass puts an interval's ends into different buckets, so it always shrinks."""
     spark = df.sparkSession
     cols = list(cols)
     long = _long_values(df, cols)
@@ -56,8 +59,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        ok = x.isNotNull() & ~F.isnan(x)
-        aggs += [F.count_if(ok).alias(f"n{i}"), F.min(F.when(ok, x)).alias(f"mn{i}"),
+        ok = F.abs(x) < float("inf")
+        aggs += [F.count_if(x == float("-inf")).alias(f"lo{i}"), F.count_if(x == float("inf")).alias(f"hi{i}"), F.count_if(ok).alias(f"n{i}"), F.min(F.when(ok, x)).alias(f"mn{i}"),
                  F.max(F.when(ok, x)).alias(f"mx{i}")]
         if sketch_accuracy:
             aggs.append(F.percentile_approx(F.when(ok, x), edges, sketch_accuracy).alias(f"ap{i}"))
@@ -65,14 +68,16 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     stats = {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"],
                  dict(zip(edges, row[f"ap{i}"] or [])) if sketch_accuracy else {})
              for i, c in enumerate(cols) if row[f"n{i}"]}
+    below_all = {c: row[f"lo{i}"] for i, c in enumerate(cols)}  # ranks of -inf
+    total = {c: row[f"lo{i}"] + row[f"n{i}"] + row[f"hi{i}"] for i, c in enumerate(cols)}
 
     # target = [column, rank, lo, hi, n_below (None = unverified), n_inside]
     targets: dict[tuple, list] = {}
     for c, (n, mn, mx, approx) in stats.items():
         for p in probs:
-            pos = p * (n - 1)
-            for r in {math.floor(pos), math.ceil(pos)}:
-                if (c, r) in targets:
+            pos = p * (total[c] - 1)
+            for r in {math.floor(pos) - below_all[c], math.ceil(pos) - below_all[c]}:
+                if (c, r) in targets or not 0 <= r < n:
                     continue
                 if n <= max_collect or not sketch_accuracy:
                     targets[(c, r)] = [c, r, mn, mx, 0, n]
@@ -114,13 +119,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         ivals = sorted({(t[0], t[2], t[3], t[4] is None) for t in large.values()})
         iid = {iv: i for i, iv in enumerate(ivals)}
         tdf = spark.createDataFrame(
-            [(i, c, float(lo), float(hi), unv) for (c, lo, hi, unv), i in iid.items()],
-            "iid int, column string, lo double, hi double, unverified boolean")
+            # a width that overflows is measured in halves
+            [(i, c, float(lo), float(hi), unv, 0.5 if math.isinf(hi - lo) else 1.0) for (c, lo, hi, unv), i in iid.items()],
+            "iid int, column string, lo double, hi double, unverified boolean, unit double")
         x, lo_c, hi_c = F.col("x"), F.col("lo"), F.col("hi")
         joined = (long.join(F.broadcast(tdf), "column")
                   .where(x.between(lo_c, hi_c) | (F.col("unverified") & (x < lo_c))))
         bucket = (F.when(x < lo_c, F.lit(-1))
-                  .when(hi_c > lo_c, F.least(F.floor((x - lo_c) / (hi_c - lo_c) * buckets),
+                  .when(hi_c > lo_c, F.least(F.floor((x * F.col("unit") - lo_c * F.col("unit")) / (hi_c * F.col("unit") - lo_c * F.col("unit")) * buckets),
                                              F.lit(buckets - 1)).cast("int"))
                   .otherwise(F.lit(0)))
         hist = (joined.groupBy("iid", bucket.alias("b"))
@@ -147,14 +153,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     out = {}
     for c in cols:
-        st = stats.get(c)
         for p in probs:
-            if st is None:
+            if not total[c]:
                 out[(c, p)] = None
                 continue
-            pos = p * (st[0] - 1)
-            lo_v, hi_v = found[(c, math.floor(pos))], found[(c, math.ceil(pos))]
-            out[(c, p)] = lo_v + (hi_v - lo_v) * (pos - math.floor(pos))
+            pos = p * (total[c] - 1)
+            n = stats[c][0] if c in stats else 0
+            lo_v, hi_v = (-math.inf if r < 0 else math.inf if r >= n else found[(c, r)]
+                          for r in (math.floor(pos) - below_all[c], math.ceil(pos) - below_all[c]))
+            out[(c, p)] = lo_v if lo_v == hi_v or pos == math.floor(pos) else lo_v + (hi_v - lo_v) * (pos - math.floor(pos))
     return out
 
 

@@ -22,7 +22,7 @@ def words_per_line(df: DataFrame, text: str = "text", by: Sequence[str] = ()) ->
                          word_count(text).cast("bigint").alias("_w"))
     g = per_text.groupBy(*by) if by else per_text.groupBy()
     return g.agg(F.sum("_l").alias("n_lines"), F.sum("_w").alias("n_words"),
-                 (F.sum("_w") / F.sum("_l")).alias("avg_words_per_line"))
+                 F.try_divide(F.sum("_w"), F.sum("_l")).alias("avg_words_per_line"))
 
 
 def line_counts(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:

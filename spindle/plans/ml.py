@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ampm_text_from_ts, format_us_date, parse_json
 from ..operators.clean import CleanSpec, clean, feature_columns
-from ..operators.features import (TEXT_FEATURES, assembler, fold_rare, index_to_string,
+from ..operators.features import (TEXT_FEATURES, assembler, category_bins, index_to_string,
                                   minmax_scale, string_indexer, text_features,
                                   without_features)
 from ..operators.models import (cross_validate, decision_tree, feature_importances,
@@ -145,17 +145,16 @@ def train_eval(spark, sf_dir, num_trees: int = 500, max_bins: int = 10000):
     train/test accuracy and weighted F1 (rows only: fitted models)."""
     ev = read_table(spark, sf_dir, "events")
     df = clean(events_as_citations(ev), EVENTS_SPEC)
-    # categories beyond maxBins - 1 are folded, so the forest never fails on
-    # a high-cardinality column (prop_k has ~100 values here: nothing folds)
+    # every category keeps its own bin; a column above max_bins stops the job
     str_cols, _ = feature_columns(df, EVENTS_LABEL)
-    df = fold_rare(df, str_cols, max_bins)
+    bins = category_bins(df, str_cols, max_bins)
     label_model = StringIndexer(inputCol=EVENTS_LABEL, outputCol="label").fit(df)
     train, test = persist(*random_split(df, [0.8, 0.2], seed=7))
     stages = event_feature_stages(df, label_model)
     to_text = index_to_string("prediction", "predictedLabel", label_model.labels)
     root = scratch_path(spark, "models")
     train_pipelines(stages, {"lr": logistic_regression(),
-                             "rf": random_forest(numTrees=num_trees, maxBins=max_bins)},
+                             "rf": random_forest(numTrees=num_trees, maxBins=max(32, bins))},
                     train, post_stages=[to_text], save_root=root)
     loaded = {name: load_model(f"{root}/{name}") for name in ("lr", "rf")}
     return score_report(loaded, {"train": train, "test": test})

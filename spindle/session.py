@@ -62,10 +62,9 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     data = buf.getvalue()
     # the zip is a driver-side artifact that Spark itself distributes
-    path = os.path.join(tempfile.gettempdir(), f"spindle-{hashlib.sha1(data).hexdigest()[:12]}.zip")
-    if not os.path.exists(path):
-        with open(path, "wb") as f:
-            f.write(data)
+    path = os.path.join(tempfile.mkdtemp(prefix="spindle-"), f"spindle-{hashlib.sha1(data).hexdigest()[:12]}.zip")
+    with open(path, "wb") as f:
+        f.write(data)
     sc.addPyFile(path)
     _SHIPPED.add(key)
 
@@ -107,6 +106,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.get()
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="spindle-ckpt-")
     sc.setCheckpointDir(root)
     # setCheckpointDir creates a per-application sub-folder; use it.

@@ -162,14 +162,20 @@ def test_native_minmax_equals_ml_scaler(spark):
     assert ml == native
 
 
-def test_fold_rare_keeps_top_values(spark):
-    from spindle.operators.features import OTHER, fold_rare
-    rows = [("a",)] * 5 + [("b",)] * 3 + [("c",)] * 3 + [("d",)] + [(None,)] * 2
-    df = spark.createDataFrame(rows, "v string")
-    got = sorted((r[0] is None, r[0]) for r in fold_rare(df, ["v"], 3).collect())
-    vals = [v for _, v in got]
-    assert vals.count("a") == 5 and vals.count("b") == 3 and vals.count(OTHER) == 4
-    assert vals.count(None) == 2
+def test_category_bins_cover_every_value(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    from spindle.operators.features import category_bins
+    df = spark.createDataFrame([(f"v{i % 40}" if i % 41 else None, float(i % 2)) for i in range(400)], "v string, label double")
+    bins = category_bins(df, ["v"], 100)
+    assert bins == 41
+    stages = [StringIndexer(inputCol="v", outputCol="i", handleInvalid="keep"), VectorAssembler(inputCols=["i"], outputCol="features")]
+    model = Pipeline(stages=[*stages, RandomForestClassifier(numTrees=2, maxBins=bins)]).fit(df)
+    assert model.transform(spark.createDataFrame([("unseen", 0.0)], df.schema)).count() == 1
+    with pytest.raises(ValueError, match="'v' has 40 categories"):
+        category_bins(df, ["v"], 40)
 
 
 @pytest.mark.parametrize("accuracy", [None, 3, 1000, 100_000])
@@ -261,3 +267,35 @@ def test_summary_matches_describe(spark):
         assert r["count"] == int(desc["count"][c])
         for stat in ("mean", "stddev", "min", "max"):
             assert math.isclose(r[stat], float(desc[stat][c]), rel_tol=1e-9)
+
+
+def test_quantiles_with_infinities_and_huge_ranges(spark):
+    from spindle.operators.quantile import exact_quantiles
+    inf = float("inf")
+    values = [inf, -inf, -inf, 1e308, -1e308, 0.0, 5e-324] + [float(i) for i in range(300)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
+    probs = [0.0, 0.003, 0.01, 0.25, 0.5, 0.75, 0.99, 0.999, 1.0]
+    want = np.quantile(values, [0.25, 0.5, 0.75])
+    for limit in (1, 500):
+        got = exact_quantiles(df, ["x"], probs, max_collect=limit)
+        assert [got["x", p] for p in (0.25, 0.5, 0.75)] == pytest.approx(want)
+        assert got["x", 0.0] == -inf and got["x", 1.0] == inf
+    only = exact_quantiles(spark.createDataFrame([(inf,), (inf,)], "x double"), ["x"], [0.5])
+    assert only["x", 0.5] == inf
+
+
+def test_histogram_of_a_large_constant_and_words_of_empty_texts(spark):
+    from spindle.operators.profile import histogram
+    from spindle.operators.text import words_per_line
+    rows = histogram(spark.createDataFrame([(1e17,), (1e17,)], "x double"), ["x"]).collect()
+    assert sum(r["count"] for r in rows) == 2
+    with pytest.raises(Exception, match="infinite"):
+        histogram(spark.createDataFrame([(1.0,), (float("inf"),)], "x double"), ["x"]).collect()
+    got = words_per_line(spark.createDataFrame([("a", ""), ("b", "x y")], "g string, text string"), by=["g"]).collect()
+    assert {r.g: r.avg_words_per_line for r in got} == {"a": None, "b": 2.0}
+
+
+def test_lines_without_an_hour_have_no_bin(spark):
+    from spindle.functions import click_hour_bin, hour_from_log_line
+    rows = spark.createDataFrame([("d 23:10",), ("d x:10",), ("d",)], "v string").select(click_hour_bin(hour_from_log_line("v")).alias("b")).collect()
+    assert [r.b for r in rows] == ["18-24", None, None]
