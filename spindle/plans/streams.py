@@ -19,7 +19,7 @@ from ..operators.split import hash_split
 from ..session import scratch_path
 from ..sinks.writers import write_messages, write_partitioned
 from ..sources.readers import load_model, read_binary_files, read_table
-from ..streaming.jobs import (decode_messages, dedup_stream, file_arrivals, message_stream,
+from ..streaming.jobs import (decode_messages, dedup_stream, event_time_span, file_arrivals, message_stream,
                               metrics_batch_writer, per_file_line_counts, run_available_now,
                               run_foreach_batch)
 from .ml import EVENTS_LABEL, EVENTS_SPEC, event_feature_stages, events_as_citations
@@ -38,14 +38,16 @@ def _publish_events_twice(spark, ev, topic_dir):
     yield
 
 
-def _dedup_job(spark, sf_dir, watermark: bool):
+def _dedup_job(spark, sf_dir, watermark: bool, max_files_per_trigger: int | None = None):
     ev = read_table(spark, sf_dir, "events", spread_input=True)  # JSON encode/decode is CPU work
+    # the topic is written in no order of time, so only its whole span loses no row
+    delay = event_time_span(ev, "ts") if watermark else None
     topic, sink, ckpt = (scratch_path(spark, n) for n in ("topic", "dedup-out", "dedup-ckpt"))
     for _ in _publish_events_twice(spark, ev, topic):
-        rows, _quarantine = decode_messages(message_stream(spark, topic), _EVENT_SCHEMA)
+        rows, _quarantine = decode_messages(message_stream(spark, topic, max_files_per_trigger=max_files_per_trigger), _EVENT_SCHEMA)
         if watermark:
             rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
-            deduped = dedup_stream(rows, ["event_id"], event_time="ts", delay="2 hours")
+            deduped = dedup_stream(rows, ["event_id"], event_time="ts", delay=delay)
         else:
             deduped = dedup_stream(rows, ["event_id"])
         # One run per published batch; the second run resumes from the

@@ -28,10 +28,13 @@ def message_stream(spark: SparkSession, source: str, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
     """SRC-08: a stream of Kafka-shaped messages.  ``fmt="kafka"`` reads a
     topic (``source`` = topic, ``options`` = ``kafka.bootstrap.servers``...);
-    any file format reads a folder of message files."""
+    any file format reads a folder of message files.  A batch takes at most
+    ``max_files_per_trigger`` files, or as many offsets of a topic."""
     if fmt == "kafka":
-        return (spark.readStream.format("kafka").options(**(options or {}))
-                .option("subscribe", source).load())
+        reader = spark.readStream.format("kafka").options(**(options or {})).option("subscribe", source)
+        if max_files_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_files_per_trigger)
+        return reader.load()
     reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA if fmt == "parquet"
                                                  else "key binary, value binary, topic string")
     if max_files_per_trigger:
@@ -41,11 +44,11 @@ def message_stream(spark: SparkSession, source: str, fmt: str = "parquet",
 
 def decode_messages(msgs: DataFrame, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
     """STR-01: bytes -> UTF-8 -> JSON -> columns.  Returns ``(rows,
-    quarantine)``: messages that are not valid UTF-8 or not JSON go to the
-    quarantine frame with their raw bytes instead of failing the query."""
+    quarantine)``: messages that are not valid UTF-8 or not a JSON object go to
+    the quarantine frame with their raw bytes instead of failing the query."""
     text = utf8_text("value")
     tagged = msgs.select("value", text.alias("_text"))
-    bad = F.col("_text").isNull() | is_malformed_json("_text")
+    bad = F.col("_text").isNull() | is_malformed_json("_text") | ~F.coalesce(F.ltrim("_text").startswith("{"), F.lit(False))
     rows = tagged.where(~bad).select(parse_json("_text", schema).alias("_data")).select("_data.*")
     quarantine = tagged.where(bad).select(F.col("value").alias("raw"),
                                           F.when(F.col("_text").isNull(), "not utf-8")
@@ -57,12 +60,21 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = No
                  delay: str | None = None) -> DataFrame:
     """STR-02: exact dedup (state grows with the number of keys, as in the
     original job) or, with ``event_time`` + ``delay``, dedup whose state is
-    dropped once the watermark passes."""
+    dropped once the watermark passes.  Rows that come later than ``delay`` after
+    the newest event are dropped with it, so ``delay`` must cover the disorder of
+    the topic (:func:`event_time_span` gives a bound for a topic at hand)."""
     if event_time:
         return df.withWatermark(event_time, delay or "1 hour").dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
 
 
+def event_time_span(df: DataFrame, event_time: str) -> str:
+    """A delay that no row of ``df`` (a batch frame) exceeds: its event-time span."""
+    row = df.agg(F.min(event_time).alias("lo"), F.max(event_time).alias("hi")).first()
+    seconds = (row["hi"] - row["lo"]).total_seconds() if row["lo"] is not None else 0
+    return f"{int(seconds) + 1} seconds"
+
+
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
                       output_mode: str = "append", partition_by: Sequence[str] = ()) -> list:
     """STR-07: process everything available, then stop; the checkpoint makes

@@ -235,3 +235,17 @@ def test_load_table_by_path_and_by_view(spark, tmp_dir):
     assert load_table(spark, f"{tmp_dir}/t.parquet").count() == 2
     register_view(df, "spindle_test_view")
     assert load_table(spark, "spindle_test_view").count() == 2
+
+
+def test_watermark_dedup_over_many_batches_keeps_every_row(spark):
+    from spindle.plans.streams import _dedup_job
+    got = _dedup_job(spark, "/root/testdata/sf0.001", watermark=True, max_files_per_trigger=1)
+    want = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert sorted(r.event_id for r in got.select("event_id").collect()) == sorted(r.event_id for r in want.select("event_id").collect())
+
+
+def test_messages_that_are_no_objects_are_quarantined(spark):
+    from spindle.streaming.jobs import decode_messages
+    msgs = spark.createDataFrame([(bytearray(v),) for v in (b'{"id": 1}', b' {"id": 2}', b"123", b"[1]", b'"x"', b"{", b"\xff")] + [(None,)], "value binary")
+    rows, quarantine = decode_messages(msgs, "id int")
+    assert sorted(r.id for r in rows.collect()) == [1, 2] and quarantine.count() == 6
