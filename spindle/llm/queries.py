@@ -87,7 +87,7 @@ def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc, op2_chat, op3_bpe, op4_rans, op5_ann, op6_ordinal, op7_mixing, op8_minhash, op9_ngram_join, op10_chunks)}
 
-# SQL twins where SQL can state the rows.
+# SQL twins where SQL can state the rows: others depend on hashes, models, vocabularies or graphs.
 _BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
 _BITS = "CAST(unhex(sha1(h)) AS BIT)::VARCHAR"
 
@@ -110,14 +110,4 @@ a AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text ||
              CAST(sum(14 + length(regexp_replace(role || text, '[\\<\[]', '..', 'g'))) AS BIGINT) AS formatted_chars
       FROM m GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM a""",
-    "op7_mixing": r"""
-WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
-w AS (SELECT source, source_size, 2.0::DOUBLE * source_size AS cap, (CASE place % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END)::DOUBLE AS weight FROM s),
-f AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0) AS left_size,
-             sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS left_weight
-      FROM w WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-l AS (SELECT min(left_size / left_weight) AS level FROM f WHERE left_size <= cap / weight * left_weight)
-SELECT 1""",
 }
-del ORACLE_SQL["op7_mixing"]  # the hash that orders the last pass is Spark's own
