@@ -20,7 +20,7 @@ from .common import staged
 
 SHARD_ROWS = 8192
 QUERY_BLOCK = 2048
-DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 28, 48, 80, 1.2
+DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 28, 48, 128, 1.2
 
 
 class Graph:
