@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -53,6 +53,10 @@ GRIDS = {
 }
 
 
+# The forest grid of the feature exploration.
+EXPLORATION_GRID = {"numTrees": [3, 50, 100], "maxDepth": [10, 20, 30], "impurity": ["gini", "entropy"]}
+
+
 def grid_of(estimator, values: dict) -> list:
     """All combinations of the parameters' values."""
     grid = ParamGridBuilder()
@@ -68,14 +72,17 @@ def classifier_grids(lr, rf, nb, dt) -> dict:
 
 def train_pipelines(feature_stages: Sequence, classifiers: dict, train: DataFrame,
                     post_stages: Sequence = (), save_root: str | None = None) -> dict:
-    """MLT-10: one pipeline per classifier, each with a *fresh* stage list
+    """MLT-10: one pipeline model per classifier, each with a *fresh* stage list
     (the shared-list mutation of the original would put both classifiers
-    into the second pipeline).  Models are saved under ``save_root``."""
+    into the second pipeline).  The feature stages are fitted once and shared.
+    Models are saved under ``save_root``."""
     from ..sinks.writers import save_model
+    features = Pipeline(stages=list(feature_stages)).fit(train)
+    data = features.transform(train)
     models = {}
     for name, clf in classifiers.items():
-        stages = [*feature_stages, clf, *post_stages]
-        m = Pipeline(stages=stages).fit(train)
+        own = Pipeline(stages=[clf, *post_stages]).fit(data)
+        m = PipelineModel([*features.stages, *own.stages])
         if save_root:
             save_model(m, f"{save_root}/{name}")
         models[name] = m
@@ -116,6 +123,11 @@ def cross_validate(estimator, grid, train: DataFrame, label: str = "label", fold
     return cv.fit(train)
 
 
+def with_features(features: PipelineModel, model) -> PipelineModel:
+    """The fitted feature stages followed by a model fitted on their output."""
+    return PipelineModel([*features.stages, model])
+
+
 def feature_importances(model, names: Sequence[str]) -> list[tuple[str, float]]:
     """MLT-06: importances named by the assembler inputs."""
     imp = model.featureImportances
@@ -124,3 +136,8 @@ def feature_importances(model, names: Sequence[str]) -> list[tuple[str, float]]:
 
 def persist(*frames: DataFrame) -> list[DataFrame]:
     return [f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
+
+
+def unpersist(*frames: DataFrame) -> None:
+    for f in frames:
+        f.unpersist()

@@ -211,7 +211,8 @@ def whole_text_newlines(spark, sf_dir):
     read whole as one string and its newlines counted; totals per source."""
     docs = read_table(spark, sf_dir, "documents").select("source", "text")
     root = scratch_path(spark, "whole-texts")
-    docs.write.mode("overwrite").partitionBy("source").text(root)
+    # a file is one string when read, so each holds a bounded number of documents
+    docs.write.mode("overwrite").option("maxRecordsPerFile", 1000).partitionBy("source").text(root)
     whole = read_whole_texts(spark, root)
     nl = F.length("value") - F.length(F.replace(F.col("value"), F.lit("\n"), F.lit("")))
     return (whole.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), nl.alias("nl"))

@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from ..functions import label_from_path, lookup
 from ..operators.clean import clean
 from ..operators.inference import CLASS_NAMES
-from ..operators.models import logistic_regression, persist, train_pipelines
+from ..operators.features import index_to_string
+from ..operators.models import logistic_regression, persist, train_pipelines, unpersist
 from ..operators.split import hash_split
 from ..session import scratch_path
-from ..sinks.writers import write_messages, write_partitioned
+from ..sinks.writers import to_messages, write_messages, write_partitioned
 from ..sources.readers import load_model, read_binary_files, read_table
 from ..streaming.jobs import (decode_messages, dedup_stream, event_time_span, file_arrivals, message_stream,
-                              metrics_batch_writer, per_file_line_counts, run_available_now,
-                              run_foreach_batch)
+                              per_file_line_counts, progress_durations, run_available_now,
+                              run_foreach_batch, scoring_batch_writer)
 from .ml import EVENTS_LABEL, EVENTS_SPEC, event_feature_stages, events_as_citations
 from .registry import query
 
@@ -73,6 +74,34 @@ def stream_dedup_watermark(spark, sf_dir):
     return _dedup_job(spark, sf_dir, watermark=True)
 
 
+@query("stream_quarantine", "STR-01 STR-07 SNK-03 SRC-08", """
+SELECT event_id, 'not json' AS reason FROM events WHERE event_type = 'click'
+UNION ALL SELECT event_id, 'not utf-8' AS reason FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, 'decoded' AS reason FROM events
+""")
+def stream_quarantine(spark, sf_dir):
+    """Every event is published whole; every click again as a cut object or a
+    JSON array, every purchase again with a byte that UTF-8 does not know.
+    The decoded rows and the quarantine are two tables of one topic."""
+    ev = read_table(spark, sf_dir, "events", spread_input=True)
+    root = scratch_path(spark, "quarantine")
+    good = to_messages(ev, "events", key="event_id")
+    number = F.col("event_id").cast("string")
+    cut = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("[{\"event_id\":"), number, F.lit("}]"))) \
+        .otherwise(F.concat(F.lit("{\"event_id\":"), number))
+    odd_byte = F.concat(number.cast("binary"), F.unhex(F.lit("FF")))
+    value = F.when(F.col("event_type") == "click", cut.cast("binary")).otherwise(odd_byte)
+    bad = (ev.where(F.col("event_type").isin("click", "purchase"))
+           .select(number.cast("binary").alias("key"), value.alias("value"), F.lit("events").alias("topic")))
+    good.unionByName(bad).write.parquet(f"{root}/topic")
+    rows, quarantine = decode_messages(message_stream(spark, f"{root}/topic"), _EVENT_SCHEMA)
+    run_available_now(rows.select("event_id"), f"{root}/rows", f"{root}/ckpt-rows")
+    run_available_now(quarantine, f"{root}/bad", f"{root}/ckpt-bad")
+    kept = spark.read.parquet(f"{root}/rows").select("event_id", F.lit("decoded").alias("reason"))
+    raw = F.regexp_extract(F.regexp_replace(F.hex("raw"), "3([0-9])|..", "$1"), "([0-9]+)", 1)
+    return kept.unionByName(spark.read.parquet(f"{root}/bad").select(raw.cast("bigint").alias("event_id"), "reason"))
+
+
 _CITATION_SCHEMA = ("`Summons Number` bigint, `Issue Date` string, `Violation Time` string, "
                     "user_id double, value double, prop_k string, event_type string")
 
@@ -106,35 +135,59 @@ def stream_clean(spark, sf_dir):
                         for c in ["Issue Day", "Issue Month", "Issue Year", "Time bin"]])
 
 
-@query("stream_score", "STR-04 STR-05 STR-06 SNK-04 SNK-05 UDF-07 PRJ-07 SRC-13 SNK-07")
-def stream_score(spark, sf_dir):
-    """Train and save a pipeline on the batch table, then score a message
-    stream with the loaded model and record per-batch metrics tables.
-    Rows whose label the model never saw go to quarantine, not to a crash."""
+def _score_job(spark, sf_dir) -> str:
+    """Train and save a pipeline on the batch table, then score a message stream
+    of several batches with the loaded model: one deduplication, one callback
+    per batch.  Returns the folder of its tables: predictions, metrics,
+    quarantine (labels the model never saw), durations."""
     ev = read_table(spark, sf_dir, "events")
     cit = events_as_citations(ev)
     batch = clean(cit, EVENTS_SPEC)
     train, _ = hash_split(batch, "user_id", 80)
     label_model = StringIndexer(inputCol=EVENTS_LABEL, outputCol="label").fit(train)
     root = scratch_path(spark, "stream-score")
+    to_text = index_to_string("prediction", "predictedLabel", label_model.labels)
+    train, = persist(train)
     train_pipelines(event_feature_stages(batch, label_model), {"lr": logistic_regression()},
-                    persist(train)[0], save_root=f"{root}/models")
+                    train, post_stages=[to_text], save_root=f"{root}/models")
+    unpersist(train)
     model = load_model(f"{root}/models/lr")
-    known = label_model.labels
 
     topic = f"{root}/topic"
-    write_messages(cit, topic, "citations", key="Summons Number")
-    rows, _ = decode_messages(message_stream(spark, topic, max_files_per_trigger=4), _CITATION_SCHEMA)
-    cleaned = clean(rows, EVENTS_SPEC)
-    seen = F.col(EVENTS_LABEL).isin(known)
-    scored = model.transform(cleaned.where(seen))
-    # rows the label indexer would fail on (unseen or null label) are kept
-    # in a quarantine table by their own small stream
-    run_available_now(cleaned.where(~F.coalesce(seen, F.lit(False))), f"{root}/quarantine",
-                      f"{root}/ckpt-quarantine")
-    run_foreach_batch(scored.select(EVENTS_LABEL, "label", "prediction"),
-                      metrics_batch_writer(f"{root}/out", keep=[EVENTS_LABEL]), f"{root}/ckpt")
-    return spark.read.parquet(f"{root}/out/metrics")
+    write = scoring_batch_writer(model, f"{root}/out", EVENTS_LABEL, label_model.labels)
+    progress = []
+    for part in range(3):  # published in three parts; each run resumes from the checkpoint
+        write_messages(cit.where(F.coalesce(F.pmod("Summons Number", F.lit(3)), F.lit(0)) == part), topic, "citations", key="Summons Number")
+        rows, _ = decode_messages(message_stream(spark, topic, max_files_per_trigger=64), _CITATION_SCHEMA)
+        progress += run_foreach_batch(clean(rows, EVENTS_SPEC), write, f"{root}/ckpt")
+    # one row per batch
+    spark.createDataFrame(progress_durations(progress), "batch_id long, rows long, trigger_ms long") \
+        .write.parquet(f"{root}/out/durations")
+    return f"{root}/out"
+
+
+@query("stream_score", "STR-04 STR-05 STR-06 SNK-04 SNK-05 UDF-07 PRJ-07 SRC-13 SNK-07")
+def stream_score(spark, sf_dir):
+    """Metrics and times of every batch of the scored stream."""
+    out = _score_job(spark, sf_dir)
+    metrics = spark.read.parquet(f"{out}/metrics").drop("rows", "trigger_ms")
+    return metrics.join(spark.read.parquet(f"{out}/durations"), "batch_id", "left")
+
+
+@query("stream_score_labels", "STR-04 STR-05 SNK-04 SNK-05 UDF-07 FEA-03", """
+SELECT event_type, count(*) AS n, count(*) AS n_named, CAST(sum(count(*)) OVER () AS BIGINT) AS n_in_metrics
+FROM events WHERE year(ts) > 2023 AND year(ts) < 2025 GROUP BY event_type
+""")
+def stream_score_labels(spark, sf_dir):
+    """Predictions of each true label over all batches, those whose predicted
+    text is one of the labels, and the rows that the batches' metrics count."""
+    out = _score_job(spark, sf_dir)
+    done = spark.read.parquet(f"{out}/predictions")
+    labels = done.select(F.col(EVENTS_LABEL).alias("predictedLabel")).distinct().withColumn("_named", F.lit(1))
+    total = spark.read.parquet(f"{out}/metrics").agg(F.sum("n").alias("n_in_metrics")).first()["n_in_metrics"]
+    return (done.join(labels, "predictedLabel", "left").groupBy(EVENTS_LABEL)
+            .agg(F.count(F.lit(1)).alias("n"), F.count("_named").alias("n_named"))
+            .withColumn("n_in_metrics", F.lit(total).cast("long")))
 
 
 @query("arrival_line_counts", "SRC-09 STR-09 SRC-03 SCL-09 SNK-02", """
@@ -143,7 +196,9 @@ FROM documents GROUP BY source
 """)
 def arrival_line_counts(spark, sf_dir):
     """Documents land as text files (one folder per source); a file stream
-    counts the lines of each file as it arrives; totals per source."""
+    counts the lines of each file as it arrives.  Each document ends in a line
+    break, so the text after a file's last one is empty and is not counted in
+    the totals per source."""
     docs = read_table(spark, sf_dir, "documents").select("source", "text")
     root = scratch_path(spark, "arrivals")
     docs.write.mode("overwrite").partitionBy("source").text(f"{root}/landing")
@@ -151,7 +206,7 @@ def arrival_line_counts(spark, sf_dir):
     run_foreach_batch(lines, per_file_line_counts(f"{root}/counts"), f"{root}/ckpt")
     per_file = spark.read.parquet(f"{root}/counts")
     return (per_file.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), "n_lines")
-            .groupBy("source").agg(F.sum("n_lines").alias("n_lines")))
+            .groupBy("source").agg(F.sum(F.col("n_lines") - 1).alias("n_lines")))
 
 
 _NAMES_SQL = "[" + ", ".join(f"'{n}'" for n in CLASS_NAMES) + "]"
@@ -171,15 +226,18 @@ def partitioned_by_label(spark, sf_dir):
 
 
 @query("binary_listing", "SRC-10 SCL-13", f"""
-SELECT DISTINCT {_NAMES_SQL}[label + 1] AS label FROM embeddings
+SELECT DISTINCT {_NAMES_SQL}[label + 1] AS label, true AS whole FROM embeddings
 """)
 def binary_listing(spark, sf_dir):
-    """Files of a label-per-folder layout listed with the binary-file source
-    (recursive, glob-filtered, contents not read); the label comes from the
-    path."""
+    """Files of a label-per-folder layout read with the binary-file source
+    (recursive, glob-filtered): the label comes from the path; ``whole`` says that
+    every content has its listed length, a time, and a Parquet file's marks at both ends."""
     e = read_table(spark, sf_dir, "embeddings")
     path = scratch_path(spark, "image-layout")
     write_partitioned(e.withColumn("label_name", lookup("label", CLASS_NAMES)), path, ["label_name"])
-    files = read_binary_files(spark, path, glob="*.parquet", recursive=True, with_content=False)
-    return (files.select(label_from_path("path", "label_name=([^/]+)/").alias("label"))
-            .distinct())
+    files = read_binary_files(spark, path, glob="*.parquet", recursive=True, with_content=True)
+    mark = F.lit("PAR1").cast("binary")
+    whole = ((F.octet_length("content") == F.col("length")) & F.col("modificationTime").isNotNull()
+             & (F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark))
+    return (files.select(label_from_path("path", "label_name=([^/]+)/").alias("label"), whole.alias("whole"))
+            .groupBy("label").agg(F.every("whole").alias("whole")))

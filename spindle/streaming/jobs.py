@@ -126,11 +126,35 @@ def metrics_batch_writer(out_root: str, label: str = "label", prediction: str =
     return write
 
 
+def scoring_batch_writer(model, out_root: str, label_text: str, known: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """STR-04/05/06: score each micro-batch once and write its predictions (with
+    the predicted label's text), its metrics, and, as quarantine, the rows whose
+    label is null or not among ``known``, the labels the model was fitted on."""
+    from pyspark import StorageLevel
+    write_scored = metrics_batch_writer(out_root, keep=[label_text, "predictedLabel"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            seen = F.coalesce(F.col(label_text).isin(list(known)), F.lit(False))
+            batch.where(~seen).write.mode("overwrite").parquet(f"{out_root}/quarantine/batch_id={batch_id}")
+            write_scored(model.transform(batch.where(seen)), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def per_file_line_counts(out_root: str) -> Callable[[DataFrame, int], None]:
-    """STR-09 / SRC-09: line count of every file that arrived in the batch
-    (a file is read whole within one micro-batch, so each count is final)."""
+    """STR-09 / SRC-09: into how many parts the line breaks split every file that
+    arrived in the batch (a file is read whole within one micro-batch, so each
+    count is final).  A break at the end is followed by an empty part; whether
+    there is one shows in the file's size against its lines' (a byte order mark
+    is 3 bytes of it).  Spark's readers leave out files of no bytes."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("path").agg(F.count(F.lit(1)).alias("n_lines"))
+        n = F.count(F.lit(1))
+        beside = F.max("file_size") - F.sum(F.octet_length("value")) - (n - 1)
+        (batch.groupBy("path").agg((n + F.when(beside % 3 == 1, 1).otherwise(0)).alias("n_lines"))
          .withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{out_root}/batch_id={batch_id}"))
     return write
@@ -139,7 +163,7 @@ def per_file_line_counts(out_root: str) -> Callable[[DataFrame, int], None]:
 def file_arrivals(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
                   line_sep: str = "\n", archive_dir: str | None = None) -> DataFrame:
     """SRC-09: a stream of the lines of files landing in ``folder`` (each
-    file once, tracked by the checkpoint), tagged with the file's path.
+    file once, tracked by the checkpoint), tagged with the file's path and size.
     For a long-running landing zone pass ``archive_dir``: processed files are
     moved there (``cleanSource=archive``), so listing the folder stays cheap
     however many files have arrived."""
@@ -148,7 +172,8 @@ def file_arrivals(spark: SparkSession, folder: str, max_files_per_trigger: int |
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.load(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    return r.load(folder).select(F.col("_metadata.file_path").alias("path"), "value",
+                                 F.col("_metadata.file_size").alias("file_size"))
 
 
 def progress_durations(progress: list) -> list[dict]:

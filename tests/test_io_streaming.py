@@ -118,12 +118,14 @@ def test_file_arrival_counts(spark, tmp_dir):
     run_foreach_batch(file_arrivals(spark, f"{tmp_dir}/land", max_files_per_trigger=1),
                       per_file_line_counts(f"{tmp_dir}/counts"), f"{tmp_dir}/ckpt")
     got = {os.path.basename(r["path"]): r["n_lines"] for r in spark.read.parquet(f"{tmp_dir}/counts").collect()}
-    assert got == {"a.txt": 3, "b.txt": 1}
-    _write(f"{tmp_dir}/land/c.txt", b"x\ny\n")
+    assert got == {"a.txt": 4, "b.txt": 2}  # as splitting at every line break counts
+    _write(f"{tmp_dir}/land/c.txt", b"x\r\ny")
+    _write(f"{tmp_dir}/land/d.txt", "\ufeffé\n\n".encode())
+    _write(f"{tmp_dir}/land/e.txt", b"\n")
     run_foreach_batch(file_arrivals(spark, f"{tmp_dir}/land", max_files_per_trigger=1),
                       per_file_line_counts(f"{tmp_dir}/counts"), f"{tmp_dir}/ckpt")
     got = {os.path.basename(r["path"]): r["n_lines"] for r in spark.read.parquet(f"{tmp_dir}/counts").collect()}
-    assert got == {"a.txt": 3, "b.txt": 1, "c.txt": 2}
+    assert got == {"a.txt": 4, "b.txt": 2, "c.txt": 2, "d.txt": 3, "e.txt": 2}
 
 
 # --- the citation cleaning on a fixture with the edge rows -------------------
@@ -205,7 +207,7 @@ def test_file_arrivals_archive_processed_files(spark, tmp_dir):
     run_foreach_batch(file_arrivals(spark, f"{tmp_dir}/zone/in", archive_dir=f"{tmp_dir}/archive"),
                       per_file_line_counts(f"{tmp_dir}/counts"), f"{tmp_dir}/ckpt")
     got = sorted(r["n_lines"] for r in spark.read.parquet(f"{tmp_dir}/counts").collect())
-    assert got == [1, 2]
+    assert got == [2, 3]
     # files of completed batches are moved out of the landing folder
     assert "a.txt" not in os.listdir(f"{tmp_dir}/zone/in")
 

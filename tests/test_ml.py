@@ -67,3 +67,38 @@ def test_index_to_string_from_column_metadata(small):
     indexed = string_indexer(["state"]).fit(small).transform(small)
     back = index_to_string("state_idx", "state_back").transform(indexed)  # labels from metadata
     assert all(r["state"] == r["state_back"] for r in back.collect())
+
+
+def test_features_are_fitted_once_and_saved_with_the_model(spark, small, tmp_dir):
+    from pyspark.ml import Pipeline
+    from spindle.operators.features import minmax_scaler
+    from spindle.operators.models import with_features
+    from spindle.sinks.writers import save_model
+    data = small.selectExpr("*", "cast(x > 2 as double) as label")
+    features = Pipeline(stages=[assembler(["x", "n"], "raw"), minmax_scaler("raw", "features")]).fit(data)
+    scaled = features.transform(data)
+    model = with_features(features, logistic_regression(maxIter=5).fit(scaled))
+    save_model(model, f"{tmp_dir}/scaled")
+    loaded = load_model(f"{tmp_dir}/scaled")
+    assert [type(s).__name__ for s in loaded.stages] == ["VectorAssembler", "MinMaxScalerModel", "LogisticRegressionModel"]
+    values = [v for r in loaded.transform(data).select("features").collect() for v in r["features"]]
+    assert min(values) == 0 and max(values) == 1
+
+
+def test_exploration_grid_and_batch_quarantine(spark, tmp_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    from spindle.operators.features import index_to_string
+    from spindle.operators.models import EXPLORATION_GRID, grid_of
+    from spindle.streaming.jobs import scoring_batch_writer
+    assert len(grid_of(random_forest(), EXPLORATION_GRID)) == 18
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 9.0), ("b", 8.0)], "kind string, x double")
+    label = StringIndexer(inputCol="kind", outputCol="label").fit(rows)
+    model = Pipeline(stages=[label, assembler(["x"]), logistic_regression(regParam=0.0),
+                             index_to_string("prediction", "predictedLabel", label.labels)]).fit(rows)
+    write = scoring_batch_writer(model, f"{tmp_dir}/o", "kind", label.labels)
+    for batch in (0, 0, 1):  # a replayed batch replaces its own output
+        write(rows.unionByName(spark.createDataFrame([("new", 1.0), (None, 2.0)], rows.schema)), batch)
+    assert spark.read.parquet(f"{tmp_dir}/o/predictions").where("kind = predictedLabel").count() == 8
+    assert spark.read.parquet(f"{tmp_dir}/o/quarantine").count() == 4
+    assert [r["n"] for r in spark.read.parquet(f"{tmp_dir}/o/metrics").collect()] == [4, 4]
