@@ -184,10 +184,10 @@ def stream_score_labels(spark, sf_dir):
     out = _score_job(spark, sf_dir)
     done = spark.read.parquet(f"{out}/predictions")
     labels = done.select(F.col(EVENTS_LABEL).alias("predictedLabel")).distinct().withColumn("_named", F.lit(1))
-    total = spark.read.parquet(f"{out}/metrics").agg(F.sum("n").alias("n_in_metrics")).first()["n_in_metrics"]
+    total = spark.read.parquet(f"{out}/metrics").agg(F.sum("n")).scalar()
     return (done.join(labels, "predictedLabel", "left").groupBy(EVENTS_LABEL)
             .agg(F.count(F.lit(1)).alias("n"), F.count("_named").alias("n_named"))
-            .withColumn("n_in_metrics", F.lit(total).cast("long")))
+            .withColumn("n_in_metrics", total))
 
 
 @query("arrival_line_counts", "SRC-09 STR-09 SRC-03 SCL-09 SNK-02", """
