@@ -1,9 +1,11 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the bytes of a text; where its upper bits are small a
-chunk ends, at the next word.  The hash sees the last 16 bytes alone, so after
-an insertion the same chunks come again.  Chunks are compared by digest over
-the whole corpus; a run of chunks that stand elsewhere before is cut out.
+A gear hash rolls over the bytes of a text; where it is the smallest of some
+window of bytes a chunk ends, at the next word.  The hash sees the last 16 bytes
+alone, so after an insertion the same chunks come again, and as no window goes
+without a boundary every passage of about 225 bytes holds a whole chunk.  Chunks
+are compared by digest over the whole corpus; a run of chunks that stand
+elsewhere before is extended by the equal bytes beside it and cut out.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ WINDOW = 16
 AVERAGE_BYTES = 48
 MAX_CHUNK = 2048
 MIN_RUN = 100
+CONTEXT = 256  # bytes compared beside a run; a common boundary lies within about 120 of a passage's ends
 
 
 def gear_table(seed: int = 5) -> np.ndarray:
@@ -42,10 +45,29 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def smallest(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Places whose hash is the smallest of a window (the last of equal ones); of equal ones in a row, one a window."""
+    n = len(hashes)
+    if n < window:
+        return np.zeros(0, np.int64)
+    low, done = (hashes.astype(np.int64) << 40) | np.arange(n, 0, -1), 1
+    while done < window:  # each step doubles the places that a value sees, at most to the window
+        step = min(done, window - done)
+        low, done = np.minimum(low[:-step], low[step:]), done + step
+    found = n - np.unique(low & ((1 << 40) - 1))[::-1]
+    fresh = np.ones(len(found), bool)
+    fresh[1:] = (hashes[found[1:]] != hashes[found[:-1]]) | (np.diff(found) >= window)
+    since = found - np.maximum.accumulate(np.where(fresh, found, 0))
+    kept = fresh.copy()
+    kept[1:] |= since[1:] // window != since[:-1] // window
+    return found[kept]
+
+
 def boundaries(texts: list[bytes], average: int = AVERAGE_BYTES, most: int = MAX_CHUNK) -> list[np.ndarray]:
     """For each text the places where chunks begin, and its length.
 
-    A boundary is moved on to the next start of a word, or, where there is none
+    Of every ``2 * average - 1`` hashes in a row one at least ends a chunk, by what
+    stands there alone, and one of ``average`` does on average.  A boundary is moved on to the next start of a word, or, where there is none
     within 64 bytes, of a character.  Chunks over ``most`` bytes are cut evenly."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     found, end = [], 0
@@ -54,7 +76,7 @@ def boundaries(texts: list[bytes], average: int = AVERAGE_BYTES, most: int = MAX
         if not len(own):
             found.append(np.zeros(1, np.int64))
             continue
-        cut = np.flatnonzero(gear_hashes(own) < (1 << 16) // average) + 1
+        cut = smallest(gear_hashes(own), 2 * average - 1) + 1
         space = SPACE[own]
         word = np.flatnonzero(space[:-1] & ~space[1:]) + 1
         if len(word):
@@ -96,19 +118,80 @@ def chunks(texts: DataFrame, average: int = AVERAGE_BYTES) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, text_key long, start int, stop int, digest long")
 
 
+def reach_left(own: bytes, other: bytes) -> int:
+    """How many bytes before two equal chunks are equal, from the start of a word (or, where none is within 64 bytes, of a character)."""
+    n = most = min(len(own), len(other))
+    if own[len(own) - most:] != other[len(other) - most:]:
+        n = next(k for k in range(most) if own[-1 - k] != other[-1 - k])
+
+    def starts_word(k: int) -> bool:
+        return not SPACE[own[-k]] and all(SPACE[t[-k - 1]] if k < len(t) else k < CONTEXT for t in (own, other))
+
+    word = next((k for k in range(n, 0, -1) if starts_word(k)), 0)
+    return word if n - word < 64 else next((k for k in range(n, word, -1) if own[-k] & 0xC0 != 0x80), word)
+
+
+def reach_right(own: bytes, other: bytes) -> int:
+    """How many bytes after two equal chunks are equal, up to an edge of a word (or, where none is within 64 bytes, of a character)."""
+    n = most = min(len(own), len(other))
+    if own[:most] != other[:most]:
+        n = next(k for k in range(most) if own[k] != other[k])
+
+    def ends_word(k: int) -> bool:
+        if k < len(own) and not SPACE[own[k]]:
+            return bool(SPACE[own[k - 1]])
+        return all(SPACE[t[k]] if k < len(t) else k < CONTEXT for t in (own, other))
+
+    word = next((k for k in range(n, 0, -1) if ends_word(k)), 0)
+    return word if n - word < 64 else next((k for k in range(n, word, -1) if k < len(own) and own[k] & 0xC0 != 0x80), word)
+
+
+def extended(pairs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, start, stop, kept_in``: the stretches of ``pairs``, with the equal bytes beside them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, after, first_before, first_after = (batch.column(c).to_pylist() for c in ("before", "after", "first_before", "first_after"))
+            left = np.array([reach_left(a, b) for a, b in zip(before, first_before, strict=True)], np.int32)
+            right = np.array([reach_right(a, b) for a, b in zip(after, first_after, strict=True)], np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(batch.column("start").to_numpy() - left, pa.int32()),
+                                              pa.array(batch.column("stop").to_numpy() + right, pa.int32()), batch.column("first_id")],
+                                             ["doc_id", "text_key", "start", "stop", "kept_in"])
+
+    return pairs.mapInArrow(run, "doc_id long, text_key long, start int, stop int, kept_in long")
+
+
 def repeated_spans(docs: DataFrame, average: int = AVERAGE_BYTES, min_run: int = MIN_RUN) -> DataFrame:
     """``doc_id, text_key, spans`` of the documents from which something is cut; see :func:`remove_repeats`."""
     found = staged(chunks(docs.select("doc_id", "text_key", "text"), average), "chunks")
     place = F.struct("doc_id", "text_key", "start")
     firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    later = found.join(firsts, "digest").filter(place != F.col("first")).select("doc_id", "text_key", "start", "stop", F.col("first.doc_id").alias("kept_in"))
+    later = found.join(firsts, "digest").filter(place != F.col("first")).select("doc_id", "text_key", "start", "stop", "first")
     # chunks that follow one another make a run; a run's number is that of the gaps before it
     order = W.partitionBy("doc_id", "text_key").orderBy("start")
     fresh = F.when(F.col("start") == F.lag("stop").over(order), 0).otherwise(1)
-    runs = (later.dropDuplicates(["doc_id", "text_key", "start"]).withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
-            .groupBy("doc_id", "text_key", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("kept_in").alias("kept_in")))
-    runs = runs.filter(F.col("stop") - F.col("start") >= min_run)
-    return runs.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "kept_in"))).alias("spans"))
+    runs = later.dropDuplicates(["doc_id", "text_key", "start"]).withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
+    # a run's chunks whose first places lie in one text at one distance make a stretch
+    stretches = staged(runs.groupBy("doc_id", "text_key", "run", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"),
+                                    (F.col("first.start") - F.col("start")).alias("shift")).agg(F.min("start").alias("start"), F.max("stop").alias("stop")), "stretches")
+    docs.sparkSession.sparkContext._jvm.System.gc()  # Spark removes the chunks' shuffle files once nothing refers to them
+    raw = docs.select("doc_id", "text_key", F.encode("text", "UTF-8").alias("raw")).dropDuplicates(["doc_id", "text_key"])
+    before = lambda p: F.substring("raw", F.greatest(p.start - CONTEXT, F.lit(0)) + 1, F.least(p.start, F.lit(CONTEXT)))
+    after = lambda p: F.substring("raw", p.stop + 1, F.lit(CONTEXT))
+    own = stretches.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop", "first_id", "first_key", "shift")).alias("places"))
+    own = raw.join(own, ["doc_id", "text_key"]).select("doc_id", "text_key", F.inline(F.transform("places", lambda p: F.struct(
+        p.start.alias("start"), p.stop.alias("stop"), p.first_id.alias("first_id"), p.first_key.alias("first_key"), (p.start + p.shift).alias("first_start"), (p.stop + p.shift).alias("first_stop"),
+        before(p).alias("before"), after(p).alias("after")))))
+    theirs = (stretches.select(F.col("first_id").alias("doc_id"), F.col("first_key").alias("text_key"), (F.col("start") + F.col("shift")).alias("start"), (F.col("stop") + F.col("shift")).alias("stop")).distinct()
+              .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("places")))
+    theirs = raw.join(theirs, ["doc_id", "text_key"]).select(F.col("doc_id").alias("first_id"), F.col("text_key").alias("first_key"), F.inline(F.transform("places", lambda p: F.struct(
+        p.start.alias("first_start"), p.stop.alias("first_stop"), before(p).alias("first_before"), after(p).alias("first_after")))))
+    pairs = own.join(theirs, ["first_id", "first_key", "first_start", "first_stop"]).select("doc_id", "text_key", "start", "stop", "first_id", "before", "after", "first_before", "first_after")
+    # stretches that meet make a span
+    so_far = F.max("stop").over(order.rowsBetween(W.unboundedPreceding, -1))
+    spans = extended(pairs).withColumn("fresh", F.when(F.col("start") <= so_far, 0).otherwise(1)).withColumn("run", F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    spans = spans.groupBy("doc_id", "text_key", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("kept_in").alias("kept_in"))
+    spans = spans.filter(F.col("stop") - F.col("start") >= min_run)
+    return spans.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "kept_in"))).alias("spans"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -120,9 +203,10 @@ def remove_repeats(docs: DataFrame, average: int = AVERAGE_BYTES, min_run: int =
     """The rows of ``docs`` with their columns, and ``kept_text, removed_bytes, spans``.
 
     A chunk stands first in the document of smallest ``doc_id`` (null is smaller
-    than any) and there at its first place; elsewhere it is repeated.  Runs of
-    repeated chunks that follow one another and have ``min_run`` bytes or more are
-    cut out; ``spans`` lists them as ``(start, stop, kept_in)`` in bytes, with the
+    than any) and there at its first place; elsewhere it is repeated.  Repeated
+    chunks that follow one another make a run, with the bytes beside them that equal
+    those beside the first places, in whole words; runs of ``min_run`` bytes or more
+    are cut out.  ``spans`` lists them as ``(start, stop, kept_in)`` in bytes, with the
     smallest ``doc_id`` that keeps one of their chunks.  Shorter runs stay, so
     common phrases do.  Digests have 64 bits: only a run of chance matches could
     be cut wrongly.  Columns of ``docs`` with these names are replaced.

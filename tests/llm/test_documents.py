@@ -275,6 +275,19 @@ def test_remove_repeats(spark, docs, nothing):
     assert cdc.remove_repeats(nothing).collect() == []
 
 
+def test_every_passage_over_50_words_is_found(spark):
+    """Passages of 51 to 100 words, repeated across otherwise different texts, are cut whole and nothing else is."""
+    rows, want = [], {}
+    for n in range(51, 101):
+        passage = prose(n, 10_000 + n)
+        for copy in range(2):
+            before, after = prose(40, 20_000 + 2 * n + copy), prose(40, 30_000 + 2 * n + copy)
+            rows.append((2 * n + copy, f"{before} {passage} {after}"))
+            want[2 * n + copy] = f"{before} {after}" if copy else rows[-1][1]
+    got = {r.doc_id: r.kept_text for r in cdc.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i in want if got[i] != want[i]] == []
+
+
 def test_ordinal_regression_holds_out(spark, docs, nothing):
     rng = np.random.default_rng(8)
     rows, grades = [], []
