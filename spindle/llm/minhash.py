@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .bayes_join import in_blocks, verify
 from .common import staged, text_batches, text_or_empty
 from .graph import components
 from .shingles import MinHash, band_keys, distinct_sets, lists_of, shingle_hashes
@@ -128,26 +129,36 @@ def shingle_rows(docs: DataFrame, width: int = WIDTH, permutations: int = PERMUT
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, node binary, shingles array<long>, keys array<long>")
 
 
+def verify_sets(parts: DataFrame, threshold: float) -> DataFrame:
+    """``a, b``: edges that connect all verified pairs of each part, from sets held as lists."""
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([np.array(s, np.int64).tobytes() for s in batch.column("shingles").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), sets], [*kept, "shingles"])
+
+    kept = ["root", "left", "right", "own", "node", "copies"]
+    rows = parts.select(*kept, "shingles").mapInArrow(packed, "root long, left int, right int, own int, node binary, copies long, shingles binary")
+    return verify(rows, threshold).filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, threshold: float = 0.8, **options) -> DataFrame:
     """``doc_id, class_id`` per row of ``docs``: documents joined by verified near copies.
 
-    Texts with equal shingle sets are one node.  Nodes that share a signature
-    band are joined with the smallest node of that band (no pairs within the
-    band), the Jaccard similarity of their shingle sets is computed, and links of
-    ``threshold`` or more make the classes; ``class_id`` is a class's smallest
-    ``doc_id``.  Null texts are empty; texts without words are one class; a class
+    Texts with equal shingle sets are one node.  For all pairs of nodes that share
+    a signature band the Jaccard similarity of their shingle sets is computed, in
+    pairs of blocks where a band is large, and links of ``threshold`` or more make
+    the classes; ``class_id`` is a class's smallest ``doc_id``.  A pair of
+    similarity 0.8 shares no band with chance 5e-5.  Null texts are empty; texts without words are one class; a class
     whose ids are all null has a null ``class_id``."""
     found = staged(shingle_rows(docs, **options), "shingles")
     nodes = found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys"))
     nodes = staged(nodes, "shingle-nodes")
-    banded = nodes.select("node", F.explode("keys").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = banded.join(hubs, "key").filter("node <> hub").select("node", "hub").distinct()
+    banded = nodes.select("node", F.explode("keys").alias("root"), F.lit(1).cast("long").alias("copies"), F.size("shingles").alias("n_shingles")).distinct()
+    bands_of = banded.groupBy("root").agg(F.sum("n_shingles").alias("band_size"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    parts = in_blocks(banded.join(bands_of, "root").withColumn("band_size", F.greatest("band_size", F.lit(1))), "root", "band_size", "node", 1_500_000)
     sets = nodes.select("node", "shingles")
-    pairs = pairs.join(sets, "node").join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("other")), "hub")
-    shared = F.size(F.array_intersect("shingles", "other"))
-    links = pairs.withColumn("shared", shared).filter(F.col("shared") >= threshold * (F.size("shingles") + F.size("other") - F.col("shared")))
-    roots = components(links.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    links = staged(verify_sets(parts.join(sets, "node"), threshold), "near-links")
+    roots = components(links)
     classed = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classed.groupBy("root").agg(F.min("least").alias("class_id"))
     return found.select("doc_id", "node").join(classed.select("node", "root"), "node").join(least, "root").select("doc_id", "class_id")

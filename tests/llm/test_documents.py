@@ -238,6 +238,30 @@ def test_near_copies(spark):
     assert sum(got[i] == c for i, c in want.items()) >= 0.9 * len(rows)
 
 
+def test_near_copies_of_a_template_equal_brute_force(spark, monkeypatch):
+    """Sub-groups of near copies in a family whose other pairs share bands, but are not near; in one block and in many."""
+    rng, family, rows = np.random.default_rng(21), prose(400, 500).split(), []
+    for _ in range(60):
+        w = list(family)
+        for changes in (6, 5):
+            w = list(w)
+            for at in rng.choice(400, changes, replace=False):
+                w[at] = prose(1, int(rng.integers(1 << 30)))
+            rows.append((len(rows), " ".join(w)))
+    want = sorted((i, c) for i, c, _ in classes(rows))
+    assert len({c for _, c in want}) > 30
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, minhash.near_copies(frame).collect())) == want
+    whole = bayes_join.in_blocks
+    monkeypatch.setattr(minhash, "in_blocks", lambda r, key, size, node, block: whole(r, key, size, node, 2000), raising=False)
+    assert sorted(map(tuple, minhash.near_copies(frame).collect())) == want
+
+
+def test_near_copies_of_edge_cases_equal_brute_force(docs, nothing):
+    assert sorted(map(tuple, minhash.near_copies(docs).collect()), key=str) == sorted([(i, c) for i, c, _ in classes(texts(docs))], key=str)
+    assert minhash.near_copies(nothing).collect() == []
+
+
 def test_chunks_resist_insertions_and_cover_texts():
     rng = np.random.default_rng(3)
     for t in [*(x.encode() for x in EDGE if x), b"x" * 10_000, ("é" * 5000).encode(), rng.integers(32, 127, 5000, np.uint8).tobytes()]:
