@@ -150,14 +150,16 @@ def grade_of(quality: Column, toxic: Column) -> Column:
 
 Model = tuple[list[int], list[float], list[float], float]
 KEEP_BEST = 0.995  # share of the sample's documents of the best grade that the selection keeps at least
+ROUNDING = 1e-9  # equal texts' sums differ by less, with what stands beside them in a batch
 
 
 def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_grades: int = 3) -> Model:
     """Features with a weight, their weights, the thresholds and the least tail probability to select,
     from rated documents (``doc_id, grade``).
 
-    That least probability is 0.5, or less where the sample's best documents
-    would not be kept (:data:`KEEP_BEST`).
+    That least probability is the highest at which the sample's best documents are
+    kept (:data:`KEEP_BEST`), so others are let through as little as that allows;
+    it is 0.5 where the sample has none.
     At most ``max_rows`` ratings are used, chosen by a hash of ``doc_id``; repeated
     ratings of a document count once, the lowest.  One task fits the model, on the
     hashed features of that bounded sample; null ids and grades are left out."""
@@ -179,7 +181,7 @@ def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_g
         ids, counts, grades = np.concatenate([*lists, np.zeros(0, np.int64)]), np.array([len(x) for x in lists], np.int64), np.array([g for _, g, _ in rows], np.int64)
         weights, thresholds = fit(ids, counts, grades, n_grades)
         tail = cumulative(scores(ids, counts, weights), thresholds)[grades == n_grades - 1, -1]
-        least = min(0.5, np.quantile(tail, 1 - KEEP_BEST, method="lower")) if len(tail) else 0.5
+        least = np.quantile(tail, 1 - KEEP_BEST, method="lower") - ROUNDING if len(tail) else 0.5
         some = np.flatnonzero(weights)
         yield pa.RecordBatch.from_pylist([{"features": some.tolist(), "weights": weights[some].tolist(), "thresholds": thresholds.tolist(), "least": least}],
                                          pa.schema([("features", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64())), ("least", pa.float64())]))

@@ -342,6 +342,17 @@ def test_ordinal_regression_holds_out(spark, docs, nothing):
     assert ordinal.score_documents(docs, empty).count() == docs.count()
 
 
+def test_selection_is_as_strict_as_the_best_grade_allows(spark):
+    """The least probability is the best documents' own quantile, also above 0.5; alike documents are kept alike."""
+    rows = [(i, prose(60, 5000 + i) + (" vile" if i % 4 == 0 else "")) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = ordinal.train(frame, frame.selectExpr("doc_id", "IF(doc_id % 4 = 0, 1, IF(doc_id % 4 = 1, 0, 2)) AS grade").filter("doc_id % 4 <> 1"))
+    got = {r.doc_id: r for r in ordinal.score_documents(frame, model).collect()}
+    best = [got[i].tail_probability for i in got if i % 4 > 1]
+    assert model[3] == pytest.approx(np.quantile(best, 1 - ordinal.KEEP_BEST, method="lower"), abs=1e-6) and model[3] > 0.5
+    assert np.mean([got[i].selected for i in got if i % 4 > 1]) >= ordinal.KEEP_BEST and not any(got[i].selected for i in got if i % 4 == 0)
+
+
 def test_shingles_equal_plain_sets():
     held = [t.encode() for t in EDGE if t is not None]
     hashes, counts = shingle_hashes(held, 5)
