@@ -27,6 +27,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Staged:
+    """A table written once to the shared folder; :meth:`discard` deletes its files when nothing reads them any more."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.path = scratch_path(df.sparkSession, name)
+        df.write.option("compression", "zstd").parquet(self.path)
+        self.rows = df.sparkSession.read.schema(df.schema).parquet(self.path)
+
+    def discard(self) -> None:
+        sc = self.rows.sparkSession.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_or_empty(name: str = "text"):
     """The column as a string; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

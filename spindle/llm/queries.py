@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .ann import nearest
 from .bayes_join import similarity_join
+from . import byte_bpe
 from .bpe import round_trip
 from .cdc import remove_repeats
+from .centroids import cluster
 from .chat import format_conversations, read_back
+from .codes import compress
 from .common import table
 from .minhash import fingerprints
 from .mixing import mix
 from .ordinal import Model, grade_of, score_documents, train
 from .rans import token_files
+from .vector_sql import clustering_sql, codes_sql
 from .warc import pages_through_archives
 
 
@@ -84,8 +88,26 @@ def op10_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents", ["doc_id", "text"])).select("doc_id", "kept_text", "removed_bytes", "spans")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds over 16 centroids, by tables of squared differences."""
+    return cluster(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code: eight parts, 16 entries each, six rounds with adaptive bounds."""
+    return compress(table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by byte-level merges in linear time, and decoded."""
+    import public_tokenizers
+
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents", ["doc_id", "text"]), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_warc, op2_chat, op3_bpe, op4_rans, op5_ann, op6_ordinal, op7_mixing, op8_minhash, op9_ngram_join, op10_chunks)}
+    op1_warc, op2_chat, op3_bpe, op4_rans, op5_ann, op6_ordinal, op7_mixing, op8_minhash, op9_ngram_join, op10_chunks,
+    op11_centroids, op12_codes, op13_byte_bpe)}
 
 # SQL twins where SQL can state the rows: others depend on hashes, models, vocabularies or graphs.
 _BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
@@ -110,4 +132,6 @@ a AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text ||
              CAST(sum(14 + length(regexp_replace(role || text, '[\\<\[]', '..', 'g'))) AS BIGINT) AS formatted_chars
       FROM m GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM a""",
+    "op11_centroids": clustering_sql(),
+    "op12_codes": codes_sql(),
 }
