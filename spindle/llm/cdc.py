@@ -19,14 +19,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged, text_batches, text_or_empty
+from .common import Staged, staged, text_batches, text_or_empty
 from .shingles import SPACE
 
 WINDOW = 16
 AVERAGE_BYTES = 48
 MAX_CHUNK = 2048
 MIN_RUN = 100
-CONTEXT = 256  # bytes compared beside a run; a common boundary lies within about 120 of a passage's ends
+CONTEXT = 256  # bytes compared beside a run; a common boundary lies within 175 of a passage's ends (16 of the hash, 95 of a window, 64 to a word)
+PLACE = 4096  # more than a chunk is long: a start and a length in one integer
+COMMON = 4096  # a digest of more than one chunk in so many, and of LEAST at least, is common
+LEAST = 1000
+BLOCK = 1 << 20  # chunks that are counted at a time
+PLACES = ["doc_id", "text_key", "place", "first_id", "first_key", "first_place"]
 
 
 def gear_table(seed: int = 5) -> np.ndarray:
@@ -99,9 +104,10 @@ def boundaries(texts: list[bytes], average: int = AVERAGE_BYTES, most: int = MAX
     return found
 
 
-def chunks(texts: DataFrame, average: int = AVERAGE_BYTES) -> DataFrame:
-    """``doc_id, text_key, start, stop, digest`` per chunk; places are bytes of the text in UTF-8."""
+def chunks(texts: DataFrame, average: int = AVERAGE_BYTES, digest_bytes: int = 8) -> DataFrame:
+    """``digest, doc_id, text_key, place`` per chunk; ``place`` is ``start * PLACE + length`` in bytes of the text in UTF-8."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = bytes(8 - digest_bytes)
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "text_key"))
             for first, held in text_batches(batch.column("text").to_pylist()):
@@ -110,12 +116,70 @@ def chunks(texts: DataFrame, average: int = AVERAGE_BYTES) -> DataFrame:
                 if not counts.sum():
                     continue
                 starts, stops = np.concatenate([p[:-1] for p in places]), np.concatenate([p[1:] for p in places])
-                digests = b"".join([hashlib.blake2b(t[a:b], digest_size=8).digest() for t, p in zip(held, places, strict=True) for a, b in zip(p[:-1].tolist(), p[1:].tolist(), strict=True)])
+                digests = b"".join([hashlib.blake2b(t[a:b], digest_size=digest_bytes).digest() + rest for t, p in zip(held, places, strict=True) for a, b in zip(p[:-1].tolist(), p[1:].tolist(), strict=True)])
                 rows = slice(first, first + len(held))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[rows], counts)), pa.array(np.repeat(keys[rows], counts)), pa.array(starts, pa.int32()),
-                                                  pa.array(stops, pa.int32()), pa.array(np.frombuffer(digests, "<i8"))], ["doc_id", "text_key", "start", "stop", "digest"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(digests, "<i8")), pa.array(np.repeat(ids[rows], counts)), pa.array(np.repeat(keys[rows], counts)),
+                                                  pa.array(starts * PLACE + stops - starts)], ["digest", "doc_id", "text_key", "place"])
 
-    return texts.mapInArrow(run, "doc_id long, text_key long, start int, stop int, digest long")
+    return texts.mapInArrow(run, "digest long, doc_id long, text_key long, place long")
+
+
+def common_digests(found: DataFrame) -> DataFrame:
+    """Digests that are one in ``COMMON`` of all chunks: at most ``COMMON`` rows.
+
+    Every block of chunks counts those that are one in ``COMMON`` of it; what a block
+    leaves out is less than that, so every digest twice as common is found."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch.column("digest").to_numpy())
+            size += len(held[-1])
+            if size >= BLOCK:
+                yield heavy(np.concatenate(held))
+                held, size = [], 0
+        if size:
+            yield heavy(np.concatenate(held))
+
+    def heavy(digests: np.ndarray) -> pa.RecordBatch:
+        values, counts = np.unique(digests, return_counts=True)
+        kept = (counts > 1) & (counts * COMMON >= len(digests))
+        return pa.RecordBatch.from_arrays([pa.array(values[kept]), pa.array(counts[kept].astype(np.int64))], ["digest", "n"])
+
+    seen = found.select("digest").mapInArrow(run, "digest long, n long").groupBy("digest").agg(F.sum("n").alias("n"))
+    return seen.filter((F.col("n") >= LEAST) & (F.col("n") * COMMON >= found.agg(F.count(F.lit(1))).scalar())).select("digest")
+
+
+def later_places(found: DataFrame) -> DataFrame:
+    """``doc_id, text_key, place, first_id, first_key, first_place`` of chunks that are not the first of their digest.
+
+    Chunks are sorted by digest, each shipped once, and passed in a row behind their
+    first.  Common digests are kept out of that: their firsts come from an aggregate
+    that every task combines beforehand and are broadcast (``COMMON`` rows at most)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, first = None, np.zeros((1, 3), np.int64)
+        last = first
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = batch.column("digest").to_numpy()
+            place = np.stack([batch.column(c).to_numpy() for c in ("doc_id", "text_key", "place")], axis=1)
+            fresh = np.concatenate([[digest is None or values[0] != digest], values[1:] != values[:-1]])
+            firsts = np.concatenate([first, place[fresh]])
+            of = firsts[np.cumsum(fresh)]
+            # rows that repeat a document repeat its places too
+            again = np.concatenate([[not fresh[0] and (place[0] == last[0]).all()], (place[1:] == place[:-1]).all(axis=1) & ~fresh[1:]])
+            kept = ~fresh & ~again & (place != of).any(axis=1)
+            digest, first, last = values[-1], of[-1:], place[-1:]
+            yield pa.RecordBatch.from_arrays([pa.array(x[kept, i]) for x in (place, of) for i in range(3)], PLACES)
+
+    common = F.broadcast(staged(common_digests(found), "common-digests"))
+    rare = found.join(common, "digest", "left_anti").repartition("digest").sortWithinPartitions("digest", "doc_id", "text_key", "place")
+    own = F.struct("doc_id", "text_key", "place")
+    often = found.join(common, "digest")
+    firsts = often.groupBy("digest").agg(F.min(own).alias("first"))
+    often = often.join(F.broadcast(firsts), "digest").filter(own != F.col("first"))
+    often = often.select("doc_id", "text_key", "place", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"), F.col("first.place").alias("first_place"))
+    return rare.select("digest", "doc_id", "text_key", "place").mapInArrow(run, ", ".join(f"{c} long" for c in PLACES)).unionByName(often)
 
 
 def reach_left(own: bytes, other: bytes) -> int:
@@ -160,32 +224,33 @@ def extended(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "doc_id long, text_key long, start int, stop int, kept_in long")
 
 
-def repeated_spans(docs: DataFrame, average: int = AVERAGE_BYTES, min_run: int = MIN_RUN) -> DataFrame:
+def repeated_spans(docs: DataFrame, average: int = AVERAGE_BYTES, min_run: int = MIN_RUN, digest_bytes: int = 8) -> DataFrame:
     """``doc_id, text_key, spans`` of the documents from which something is cut; see :func:`remove_repeats`."""
-    found = staged(chunks(docs.select("doc_id", "text_key", "text"), average), "chunks")
-    place = F.struct("doc_id", "text_key", "start")
-    firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    later = found.join(firsts, "digest").filter(place != F.col("first")).select("doc_id", "text_key", "start", "stop", "first")
+    found = Staged(chunks(docs.select("doc_id", "text_key", "text"), average, digest_bytes), "chunks")
+    start, first_start = (F.floor(F.col(c) / PLACE).cast("int") for c in ("place", "first_place"))
+    later = later_places(found.rows).select("doc_id", "text_key", start.alias("start"), (start + F.pmod("place", F.lit(PLACE)).cast("int")).alias("stop"), "first_id", "first_key", first_start.alias("first_start"))
     # chunks that follow one another make a run; a run's number is that of the gaps before it
     order = W.partitionBy("doc_id", "text_key").orderBy("start")
     fresh = F.when(F.col("start") == F.lag("stop").over(order), 0).otherwise(1)
     runs = later.dropDuplicates(["doc_id", "text_key", "start"]).withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
     # a run's chunks whose first places lie in one text at one distance make a stretch
-    stretches = staged(runs.groupBy("doc_id", "text_key", "run", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"),
-                                    (F.col("first.start") - F.col("start")).alias("shift")).agg(F.min("start").alias("start"), F.max("stop").alias("stop")), "stretches")
-    docs.sparkSession.sparkContext._jvm.System.gc()  # Spark removes the chunks' shuffle files once nothing refers to them
+    stretches = staged(runs.groupBy("doc_id", "text_key", "run", "first_id", "first_key", (F.col("first_start") - F.col("start")).alias("shift"))
+                       .agg(F.min("start").alias("start"), F.max("stop").alias("stop")), "stretches")
+    found.discard()  # nothing reads the chunks any more
     raw = docs.select("doc_id", "text_key", F.encode("text", "UTF-8").alias("raw")).dropDuplicates(["doc_id", "text_key"])
     before = lambda p: F.substring("raw", F.greatest(p.start - CONTEXT, F.lit(0)) + 1, F.least(p.start, F.lit(CONTEXT)))
     after = lambda p: F.substring("raw", p.stop + 1, F.lit(CONTEXT))
+    whole = lambda p: F.xxhash64(F.substring("raw", p.start + 1, p.stop - p.start))
     own = stretches.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop", "first_id", "first_key", "shift")).alias("places"))
     own = raw.join(own, ["doc_id", "text_key"]).select("doc_id", "text_key", F.inline(F.transform("places", lambda p: F.struct(
         p.start.alias("start"), p.stop.alias("stop"), p.first_id.alias("first_id"), p.first_key.alias("first_key"), (p.start + p.shift).alias("first_start"), (p.stop + p.shift).alias("first_stop"),
-        before(p).alias("before"), after(p).alias("after")))))
+        before(p).alias("before"), after(p).alias("after"), whole(p).alias("whole")))))
     theirs = (stretches.select(F.col("first_id").alias("doc_id"), F.col("first_key").alias("text_key"), (F.col("start") + F.col("shift")).alias("start"), (F.col("stop") + F.col("shift")).alias("stop")).distinct()
               .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("places")))
     theirs = raw.join(theirs, ["doc_id", "text_key"]).select(F.col("doc_id").alias("first_id"), F.col("text_key").alias("first_key"), F.inline(F.transform("places", lambda p: F.struct(
-        p.start.alias("first_start"), p.stop.alias("first_stop"), before(p).alias("first_before"), after(p).alias("first_after")))))
-    pairs = own.join(theirs, ["first_id", "first_key", "first_start", "first_stop"]).select("doc_id", "text_key", "start", "stop", "first_id", "before", "after", "first_before", "first_after")
+        p.start.alias("first_start"), p.stop.alias("first_stop"), before(p).alias("first_before"), after(p).alias("first_after"), whole(p).alias("first_whole")))))
+    # chunks of equal digest by chance don't stand in both texts
+    pairs = own.join(theirs, ["first_id", "first_key", "first_start", "first_stop"]).filter("whole = first_whole").select("doc_id", "text_key", "start", "stop", "first_id", "before", "after", "first_before", "first_after")
     # stretches that meet make a span
     so_far = F.max("stop").over(order.rowsBetween(W.unboundedPreceding, -1))
     spans = extended(pairs).withColumn("fresh", F.when(F.col("start") <= so_far, 0).otherwise(1)).withColumn("run", F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, 0)))
@@ -199,7 +264,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text"))
 
 
-def remove_repeats(docs: DataFrame, average: int = AVERAGE_BYTES, min_run: int = MIN_RUN) -> DataFrame:
+def remove_repeats(docs: DataFrame, average: int = AVERAGE_BYTES, min_run: int = MIN_RUN, digest_bytes: int = 8) -> DataFrame:
     """The rows of ``docs`` with their columns, and ``kept_text, removed_bytes, spans``.
 
     A chunk stands first in the document of smallest ``doc_id`` (null is smaller
@@ -208,15 +273,16 @@ def remove_repeats(docs: DataFrame, average: int = AVERAGE_BYTES, min_run: int =
     those beside the first places, in whole words; runs of ``min_run`` bytes or more
     are cut out.  ``spans`` lists them as ``(start, stop, kept_in)`` in bytes, with the
     smallest ``doc_id`` that keeps one of their chunks.  Shorter runs stay, so
-    common phrases do.  Digests have 64 bits: only a run of chance matches could
-    be cut wrongly.  Columns of ``docs`` with these names are replaced.
+    common phrases do.  Digests have ``8 * digest_bytes`` bits; what they match is
+    compared once more by another hash of both texts before it is cut.  Columns of
+    ``docs`` with these names are replaced.
 
     A null text is empty, and what is cut whole leaves an empty text.  Rows that
     repeat ``doc_id`` and text are one document and stay alike.  Very long texts
     are cut by the same rule; nothing bounds how often a chunk may repeat.
     """
     docs = docs.drop("kept_text", "removed_bytes", "spans")
-    spans = repeated_spans(keyed(docs), average, min_run).select(F.col("doc_id").alias("_cut_id"), F.col("text_key").alias("_cut_key"), F.col("spans").alias("_cut_spans"))
+    spans = repeated_spans(keyed(docs), average, min_run, digest_bytes).select(F.col("doc_id").alias("_cut_id"), F.col("text_key").alias("_cut_key"), F.col("spans").alias("_cut_spans"))
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     own_id = F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63)))
     rows = docs.join(spans, (own_id == F.col("_cut_id")) & (F.xxhash64(text) == F.col("_cut_key")), "left").drop("_cut_id", "_cut_key")

@@ -299,6 +299,34 @@ def test_remove_repeats(spark, docs, nothing):
     assert cdc.remove_repeats(nothing).collect() == []
 
 
+def test_chunks_equal_by_chance_are_not_cut(spark):
+    """With digests of one byte nearly every chunk has one of an earlier other one; only true repeats go."""
+    rows = [(i, prose(120, 100 + i)) for i in range(40)] + [(50, prose(30, 900) + " " + prose(60, 101)), (51, prose(120, 103))]
+    got = {r.doc_id: r for r in cdc.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), digest_bytes=1).collect()}
+    source = dict(rows)
+    assert all(got[i].removed_bytes == 0 for i in range(40))
+    for i in (50, 51):
+        for s in got[i].spans or []:
+            assert source[i].encode()[s.start:s.stop] in source[s.kept_in].encode()
+
+
+def test_a_very_common_chunk_takes_the_combined_way(spark):
+    """A line that 3,000 documents share is common; each keeps its own words and the first keeps the line."""
+    line = prose(60, 77)
+    docs = spark.range(3000, numPartitions=7).select("id", F.concat(F.md5(F.col("id").cast("string")), F.lit(" "), F.lit(line), F.lit(" "), F.md5((-F.col("id") - 1).cast("string"))).alias("text")).withColumnRenamed("id", "doc_id")
+    found = cdc.chunks(cdc.keyed(docs).select("doc_id", "text_key", "text"))
+    assert cdc.common_digests(found).count() > 0
+    place = {(r.doc_id, r.place): r.digest for r in found.collect()}
+    firsts = {}
+    for (i, p), d in sorted(place.items()):
+        firsts.setdefault(d, (i, p))
+    later = {(r.doc_id, r.place): (r.first_id, r.first_place) for r in cdc.later_places(found).collect()}
+    assert later == {k: firsts[d] for k, d in place.items() if firsts[d] != k}
+    got = {r.doc_id: r.kept_text for r in cdc.remove_repeats(docs).collect()}
+    assert line in got[0] and not any(line in t for i, t in got.items() if i)
+    assert all(t.startswith(hashlib.md5(str(i).encode()).hexdigest()) and t.endswith(hashlib.md5(str(-i - 1).encode()).hexdigest()) for i, t in got.items())
+
+
 def test_every_passage_over_50_words_is_found(spark):
     """Passages of 51 to 100 words, repeated across otherwise different texts, are cut whole and nothing else is."""
     rows, want = [], {}
