@@ -124,8 +124,8 @@ def chunks(texts: DataFrame, average: int = AVERAGE_BYTES, digest_bytes: int = 8
     return texts.mapInArrow(run, "digest long, doc_id long, text_key long, place long")
 
 
-def common_digests(found: DataFrame) -> DataFrame:
-    """Digests that are one in ``COMMON`` of all chunks: at most ``COMMON`` rows.
+def common_digests(found: DataFrame) -> list[int]:
+    """Digests that are one in ``COMMON`` of all chunks: at most ``COMMON`` of them.
 
     Every block of chunks counts those that are one in ``COMMON`` of it; what a block
     leaves out is less than that, so every digest twice as common is found."""
@@ -146,7 +146,8 @@ def common_digests(found: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(values[kept]), pa.array(counts[kept].astype(np.int64))], ["digest", "n"])
 
     seen = found.select("digest").mapInArrow(run, "digest long, n long").groupBy("digest").agg(F.sum("n").alias("n"))
-    return seen.filter((F.col("n") >= LEAST) & (F.col("n") * COMMON >= found.agg(F.count(F.lit(1))).scalar())).select("digest")
+    often = seen.filter((F.col("n") >= LEAST) & (F.col("n") * COMMON >= found.agg(F.count(F.lit(1))).scalar()))
+    return [r.digest for r in often.select("digest").collect()]
 
 
 def later_places(found: DataFrame) -> DataFrame:
@@ -154,7 +155,7 @@ def later_places(found: DataFrame) -> DataFrame:
 
     Chunks are sorted by digest, each shipped once, and passed in a row behind their
     first.  Common digests are kept out of that: their firsts come from an aggregate
-    that every task combines beforehand and are broadcast (``COMMON`` rows at most)."""
+    that every task combines beforehand (``COMMON`` rows at most) and are looked up."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, first = None, np.zeros((1, 3), np.int64)
         last = first
@@ -172,14 +173,23 @@ def later_places(found: DataFrame) -> DataFrame:
             digest, first, last = values[-1], of[-1:], place[-1:]
             yield pa.RecordBatch.from_arrays([pa.array(x[kept, i]) for x in (place, of) for i in range(3)], PLACES)
 
-    common = F.broadcast(staged(common_digests(found), "common-digests"))
-    rare = found.join(common, "digest", "left_anti").repartition("digest").sortWithinPartitions("digest", "doc_id", "text_key", "place")
-    own = F.struct("doc_id", "text_key", "place")
-    often = found.join(common, "digest")
-    firsts = often.groupBy("digest").agg(F.min(own).alias("first"))
-    often = often.join(F.broadcast(firsts), "digest").filter(own != F.col("first"))
-    often = often.select("doc_id", "text_key", "place", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"), F.col("first.place").alias("first_place"))
-    return rare.select("digest", "doc_id", "text_key", "place").mapInArrow(run, ", ".join(f"{c} long" for c in PLACES)).unionByName(often)
+    common = common_digests(found)
+    often = F.col("digest").isin(common)
+    rare = (found.filter(~often) if common else found).repartition("digest").sortWithinPartitions("digest", "doc_id", "text_key", "place")
+    later = rare.select("digest", "doc_id", "text_key", "place").mapInArrow(run, ", ".join(f"{c} long" for c in PLACES))
+    if not common:
+        return later
+    rows = found.filter(often).groupBy("digest").agg(F.min(F.struct("doc_id", "text_key", "place")).alias("first")).select("digest", "first.*").orderBy("digest").toArrow()
+    known, firsts = (np.stack([rows.column(c).to_numpy() for c in names], axis=1) for names in (["digest"], ["doc_id", "text_key", "place"]))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.stack([batch.column(c).to_numpy() for c in ("doc_id", "text_key", "place")], axis=1)
+            of = firsts[np.searchsorted(known[:, 0], batch.column("digest").to_numpy())]
+            kept = (place != of).any(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[kept, i]) for x in (place, of) for i in range(3)], PLACES)
+
+    return later.unionByName(found.filter(often).select("digest", "doc_id", "text_key", "place").mapInArrow(look_up, ", ".join(f"{c} long" for c in PLACES)))
 
 
 def reach_left(own: bytes, other: bytes) -> int:
