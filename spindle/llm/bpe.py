@@ -133,6 +133,19 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
 
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """As :func:`encode_documents`, with ``n_tokens`` and ``decoded``, the text that the ids give again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizer(path)
+        for batch in batches:
+            for part in slices(batch):
+                ids = [t.encode(x) for x in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                                                  pa.array([t.decode(x) for x in ids], pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+
+
 def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)

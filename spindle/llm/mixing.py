@@ -110,7 +110,8 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     passes = F.concat(F.array_repeat(size, whole.cast("int")), F.filter(F.array(taken - whole * size), lambda n: n > 0))
     rows = rows.withColumn("_mix_words", F.explode(passes))
     cut = F.col("_mix_words") < size
-    short = F.array_join(F.slice(F.split(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), " "), 1, F.col("_mix_words").cast("int")), " ")
+    # words with the white space before them, which so stays as it was
+    short = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1, F.col("_mix_words").cast("int")), "")
     rows = rows.withColumn("text", F.when(cut, short).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -2,7 +2,10 @@
 
 import base64
 import hashlib
+import itertools
+import os
 import struct
+import sys
 
 import numpy as np
 import pytest
@@ -11,6 +14,10 @@ from pyspark.sql import functions as F
 
 from spindle.llm import ann, chat, graph, warc
 from spindle.llm.common import new_file, open_file
+from spindle.llm.queries import vocabulary
+
+sys.path.insert(0, os.path.dirname(__file__))
+from test_documents import mixing_targets, shingles  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -172,8 +179,52 @@ def test_pipeline(spark):
         assert kept[-1].columns == p.COLUMNS, name
     ids = [{r.doc_id for r in k.select("doc_id").collect()} for k in kept]
     assert ids[0] >= ids[1] >= ids[2] >= ids[3] >= ids[4] and len(ids[1]) < len(ids[0]) and len(ids[2]) < len(ids[1])
-    last = p.run(spark, SF001).collect()
-    assert sorted((r.doc_id, r.n_tokens) for r in last) == sorted((r.doc_id, r.n_tokens) for r in p.tokenize(spark, kept[-1], SF001).collect())
+    rows = [{r.doc_id: r for r in k.collect()} for k in kept[:4]]
+    # near copies: of every component of pairs of similarity 0.8 or more the smallest id stays, and nothing else goes
+    sets = {i: shingles(r.text or "") for i, r in rows[1].items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        either = len(sets[a] | sets[b])
+        if len(sets[a] & sets[b]) >= 0.8 * either and (either or rows[1][a].text == rows[1][b].text):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    assert set(rows[2]) == {find(i) for i in sets if sets[i]} | {i for i in rows[2] if not sets[i]}
+    assert all(rows[2][i] == rows[1][i] for i in rows[2])
+    # passages: what is left of a text stands in it in order, and no run of 51 words stands in two texts
+    words = lambda t: (t or "").encode().split()
+    seen = set()
+    for i in sorted(rows[3]):
+        whole, left = words(rows[2][i].text), words(rows[3][i].text)
+        at = iter(whole)
+        assert all(w in at for w in left)
+        runs = {tuple(left[k:k + 51]) for k in range(len(left) - 50)}
+        assert not runs & seen
+        seen |= runs
+    # the mix: every row is a text or its beginning, and each source has the words of its target
+    sizes, mixed = {}, {}
+    for r in rows[3].values():
+        sizes[r.source] = sizes.get(r.source, 0) + len(words(r.text))
+    last_docs = kept[-1].collect()
+    for r in last_docs:
+        assert (rows[3][r.doc_id].text or "").startswith(r.text or "")
+        mixed[r.source] = mixed.get(r.source, 0) + len(words(r.text))
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s)))}
+    for s, want in mixing_targets(sizes, weights, 1.5, 2).items():
+        assert abs(mixed.get(s, 0) - want) <= 1
+    # ids and decoded texts as the tokenizers' library gives them
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    t.no_truncation(), t.no_padding()
+    wanted = [t.encode(r.text or "", add_special_tokens=False).ids for r in last_docs]
+    wanted = sorted((r.doc_id, len(ids), np.array(ids, "<u4").tobytes(), t.decode(ids, skip_special_tokens=False)) for r, ids in zip(last_docs, wanted, strict=True))
+    assert sorted((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in p.run(spark, SF001).collect()) == wanted
     nothing = docs.limit(0)
     for _, stage in p.STAGES:
         assert stage(spark, nothing, SF001).collect() == []
@@ -184,4 +235,4 @@ def test_registration():
     from spindle.llm.queries import QUERIES
 
     assert set(QUERIES) <= set(e.queries()) and "pipeline" in e.queries()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
