@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.llm.bayes_join import one_of_each
-from spindle.llm.bpe import encode_documents
+from spindle.llm.bpe import encode_and_decode
 from spindle.llm.cdc import remove_repeats
 from spindle.llm.common import staged, table
 from spindle.llm.mixing import mixture
@@ -47,8 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text."""
-    return encode_documents(docs, vocabulary("word_bpe_49k.json")).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    """Token ids of every text, and the text that they decode to."""
+    return encode_and_decode(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [
