@@ -12,6 +12,7 @@ so bounded by labels x dimension), fitted by Spark over the whole table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -113,15 +114,35 @@ def centroid_predict(df: DataFrame, vec: str, label: str, metric: str = "l2",
 
 # --- image size from bytes (UDF-03, INF-03) ----------------------------------
 
-def _png_size(b: bytes):
-    if b is not None and len(b) >= 24 and b[:8] == b"\x89PNG\r\n\x1a\n":
+# The JPEG markers that begin a frame header (all of C0..CF but C4, C8 and CC).
+JPEG_FRAMES = (0xC0, 0xC1, 0xC2, 0xC3, 0xC5, 0xC6, 0xC7, 0xC9, 0xCA, 0xCB, 0xCD, 0xCE, 0xCF)
+_NETPBM = re.compile(rb"P[1-6](?:\s+|\s*#[^\n]*\n)+(\d+)(?:\s+|\s*#[^\n]*\n)+(\d+)\s")
+
+
+def size_from_header(b: bytes | None) -> tuple[int | None, int | None]:
+    """Width and height from the header of a PNG, JPEG, GIF or PBM/PGM/PPM image; ``(None, None)`` for other bytes."""
+    if not b:
+        return None, None
+    if b[:8] == b"\x89PNG\r\n\x1a\n" and len(b) >= 24:
         return int.from_bytes(b[16:20], "big"), int.from_bytes(b[20:24], "big")
+    if b[:6] in (b"GIF87a", b"GIF89a") and len(b) >= 10:
+        return int.from_bytes(b[6:8], "little"), int.from_bytes(b[8:10], "little")
+    if m := _NETPBM.match(b[:256]):
+        return int(m[1]), int(m[2])
+    if b[:2] == b"\xff\xd8":  # segments one after another up to the frame header
+        at = 2
+        while at + 9 <= len(b) and b[at] == 0xFF:
+            kind = b[at + 1]
+            if kind in JPEG_FRAMES:
+                return int.from_bytes(b[at + 7:at + 9], "big"), int.from_bytes(b[at + 5:at + 7], "big")
+            # fill bytes and markers without a length
+            at += 1 if kind == 0xFF else 2 if kind == 0x01 or 0xD0 <= kind <= 0xD8 else 2 + int.from_bytes(b[at + 2:at + 4], "big")
     return None, None
 
 
 @F.pandas_udf(StructType([StructField("width", IntegerType()), StructField("height", IntegerType())]))
 def image_size(content: pd.Series) -> pd.DataFrame:
-    """UDF-03: width and height from PNG header bytes (no image library is
-    needed for the header); null for other formats."""
-    sizes = [_png_size(b) for b in content]
+    """UDF-03: width and height from the bytes of image files (no image
+    library is needed for the header); null for other bytes."""
+    sizes = [size_from_header(b) for b in content]
     return pd.DataFrame(sizes, columns=["width", "height"]).astype("Int32")

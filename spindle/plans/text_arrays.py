@@ -216,21 +216,3 @@ def model_topk(spark, sf_dir):
         preds = p if preds is None else preds.unionByName(p)
     top = top_k_per_group(preds, ["model", "label_name"], "predicted", 2)
     return top.select("model", "label_name", "predicted", "count", F.col("rank").cast("bigint").alias("rank"))
-
-
-@query("image_sizes", "UDF-03 INF-03 SCL-15", """
-SELECT vec_id, label, 4 AS width, 4 AS height, 136 AS n_bytes FROM embeddings
-""")
-def image_sizes(spark, sf_dir):
-    """Each 4x4x4 vector becomes a 4x4 RGBA PNG (native expressions only),
-    and the Arrow image-size UDF reads the dimensions back from the bytes."""
-    from ..functions.images import png_rgba, to_byte_values
-    from ..operators.inference import image_size
-    from ..session import ship_package
-    ship_package(spark)
-    e = read_table(spark, sf_dir, "embeddings")
-    png = png_rgba(to_byte_values(chw_to_hwc("embedding", 4, 4, 4), -1.0, 1.0), 4, 4)
-    imgs = e.select("vec_id", "label", png.alias("content"))
-    return imgs.select("vec_id", "label", image_size("content").alias("size"),
-                       F.length("content").alias("n_bytes")).select(
-        "vec_id", "label", "size.width", "size.height", "n_bytes")

@@ -76,15 +76,25 @@ def event_time_span(df: DataFrame, event_time: str) -> str:
 
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                      output_mode: str = "append", partition_by: Sequence[str] = ()) -> list:
+                      output_mode: str = "append", partition_by: Sequence[str] = (),
+                      state_partitions: int | None = None) -> list:
     """STR-07: process everything available, then stop; the checkpoint makes
-    a re-run continue where the previous one ended (STR-08)."""
+    a re-run continue where the previous one ended (STR-08).  ``state_partitions``
+    is the number of partitions that state has from a checkpoint's first run on
+    (default: the session's shuffle partitions); every one costs a task a batch."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     w = (df.writeStream.format(fmt).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(sink)
-    q.awaitTermination()
+    try:
+        q = w.start(sink)
+        q.awaitTermination()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
     return q.recentProgress
 
 

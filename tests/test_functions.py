@@ -161,22 +161,14 @@ def test_paths(spark):
     assert [tuple(r) for r in rows] == [("cat", "12"), ("", "y"), ("", "nolabel")]
 
 
-def test_png_bytes_are_valid(spark):
-    import struct
-    import zlib
-    from spindle.functions.images import png_rgba, to_byte_values
-    px = list(range(0, 256, 8))[:32] + [255] * 16  # 3 x 4 RGBA = 48 values
-    df = spark.createDataFrame([([v / 255.0 for v in px],)], "a array<double>")
-    b = bytes(df.select(png_rgba(to_byte_values("a", 0.0, 1.0), 4, 3)).first()[0])
-    assert b[:8] == bytes.fromhex("89504E470D0A1A0A")
-    pos, chunks = 8, {}
-    while pos < len(b):
-        ln = struct.unpack(">I", b[pos:pos + 4])[0]
-        kind, data = b[pos + 4:pos + 8], b[pos + 8:pos + 8 + ln]
-        assert zlib.crc32(kind + data) == struct.unpack(">I", b[pos + 8 + ln:pos + 12 + ln])[0]
-        chunks[kind] = data
-        pos += 12 + ln
-    assert struct.unpack(">II", chunks[b"IHDR"][:8]) == (4, 3)
-    raw = zlib.decompress(chunks[b"IDAT"])  # checks the Adler-32 too
-    rows = [raw[i * 17:(i + 1) * 17] for i in range(3)]
-    assert all(r[0] == 0 for r in rows) and b"".join(r[1:] for r in rows) == bytes(px)
+def test_image_sizes_from_headers(spark):
+    from spindle.operators.inference import image_size, size_from_header
+    png = b"\x89PNG\r\n\x1a\n" + b"\x00\x00\x00\rIHDR" + (32).to_bytes(4, "big") + (16).to_bytes(4, "big") + b"\x08"
+    frame = b"\xff\xc2\x00\x11\x08" + (480).to_bytes(2, "big") + (640).to_bytes(2, "big") + b"\x03" * 8
+    jpeg = b"\xff\xd8" + b"\xff\xe0\x00\x10JFIF" + bytes(10) + b"\xff\xff\xdb\x00\x05\x00\xc0\x01" + b"\xff\x01" + frame
+    gif = b"GIF89a" + (7).to_bytes(2, "little") + (300).to_bytes(2, "little")
+    cases = {png: (32, 16), jpeg: (640, 480), gif: (7, 300), b"P5\n# made here\n64 3\n255\n" + bytes(192): (64, 3), b"P1 2 9 0": (2, 9),
+             png[:20]: (None, None), jpeg[:30]: (None, None), b"\xff\xd8": (None, None), b"P5 x": (None, None), b"": (None, None), b"text": (None, None), None: (None, None)}
+    assert {b: size_from_header(b) for b in cases} == cases
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, b binary")
+    assert [tuple(r.s) for r in df.select("i", image_size("b").alias("s")).orderBy("i").collect()] == list(cases.values())
