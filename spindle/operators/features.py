@@ -121,3 +121,16 @@ def text_features(df: DataFrame, text: str = "text") -> DataFrame:
         "n_upper": n_matching(r"\p{Lu}"),
         "n_punct": n_matching(r"\p{P}"),
     })
+
+
+def one_hot_stages(cols: Sequence[str], output: str = "features", numeric: Sequence[str] = ()) -> list:
+    """FEA-05 / MLT-01: stages that give linear models one slot per category, as sparse vectors.
+
+    Every column has a slot of its own for null and unseen values, after its
+    categories by frequency; ``numeric`` columns follow."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    cols = list(cols)
+    places, slots = [f"{c}_place" for c in cols], [f"{c}_slots" for c in cols]
+    return [StringIndexer(inputCols=cols, outputCols=places, handleInvalid="keep"),
+            OneHotEncoder(inputCols=places, outputCols=slots, dropLast=False),
+            VectorAssembler(inputCols=[*slots, *numeric], outputCol=output, handleInvalid="keep")]
