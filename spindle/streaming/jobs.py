@@ -25,15 +25,17 @@ from ..sinks.writers import MESSAGE_SCHEMA
 
 
 def message_stream(spark: SparkSession, source: str, fmt: str = "parquet",
-                   max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, options: dict | None = None,
+                   max_messages_per_trigger: int | None = None) -> DataFrame:
     """SRC-08: a stream of Kafka-shaped messages.  ``fmt="kafka"`` reads a
     topic (``source`` = topic, ``options`` = ``kafka.bootstrap.servers``...);
     any file format reads a folder of message files.  A batch takes at most
-    ``max_files_per_trigger`` files, or as many offsets of a topic."""
+    ``max_files_per_trigger`` files, or ``max_messages_per_trigger`` messages of a
+    topic; neither stands for the other."""
     if fmt == "kafka":
         reader = spark.readStream.format("kafka").options(**(options or {})).option("subscribe", source)
-        if max_files_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", max_files_per_trigger)
+        if max_messages_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_messages_per_trigger)
         return reader.load()
     reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA if fmt == "parquet"
                                                  else "key binary, value binary, topic string")
