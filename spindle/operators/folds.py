@@ -33,8 +33,9 @@ def naive_bayes_statistics(df: DataFrame, label: str, features: Sequence[str], k
 
 def naive_bayes_models(statistics: DataFrame, n_features: int, folds: int, smoothing: Sequence[float]) -> list[list[list[tuple[str, float, list[float]]]]]:
     """For each fold and smoothing point the multinomial model of all other folds: ``(label, log prior, log likelihoods)``."""
-    rows = statistics.collect()  # folds x labels rows
-    if len(rows) * (n_features + 1) * len(smoothing) > MAX_MODEL_VALUES:
+    most = MAX_MODEL_VALUES // ((n_features + 1) * len(smoothing))
+    rows = statistics.limit(most + 1).collect()  # folds x labels rows
+    if len(rows) > most:
         raise ValueError("too many labels or features for models on the driver")
     labels = sorted({r.label for r in rows})
     total = {c: [sum(r[f"s_{j}"] for r in rows if r.label == c) for j in range(n_features)] for c in labels}

@@ -68,6 +68,9 @@ BOUNDED_ACTIONS = {
     "operators/features.py": {"first": 2},  # min/max row; distinct values per column
     "operators/quantile.py": {"first": 2, "toPandas": 2},  # stats rows; <= targets x max_collect
                                                            # values; <= intervals x buckets rows
+    "operators/folds.py": {"collect": 2, "count": 2},  # folds x labels rows, limited by MAX_MODEL_VALUES; one row a fold; two counts
+    "plans/arrivals.py": {"first": 1},        # a topic's time span and size: one row
+    "plans/dirty.py": {"collect": 1, "first": 1},  # one profile row a column; exact values beside them: one row
 }
 
 
