@@ -9,15 +9,19 @@ on every copy of its rows is late.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
+# the processor is also set up on the driver, in a Python process that doesn't get the shipped package: it travels whole
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Columns that the job adds: the event time in milliseconds, what became of the row, and the watermark that it met.
 TIME, OUTCOME, WATERMARK = "event_ms", "outcome", "watermark_ms"
 _KEY = np.dtype([("a", "<i8"), ("b", "<i8")])  # two independent hashes of a row's keys

@@ -10,13 +10,15 @@ SCRIPT = r"""
 import importlib.util, sys
 from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate())
 spec = importlib.util.spec_from_file_location("entry_mod", sys.argv[1])
 mod = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(mod)
 q = mod.queries()
 print("ROWS", q["centroid_infer"](spark, "/root/testdata/sf0.001").count(),
-      q["image_sizes"](spark, "/root/testdata/sf0.001").count())
+      q["image_sizes"](spark, "/root/testdata/sf0.001").count(),
+      q["object_line_counts"](spark, "/root/testdata/sf0.001").count(),
+      q["stream_dedup_late"](spark, "/root/testdata/sf0.001").count())
 """
 
 
@@ -28,5 +30,4 @@ def test_udf_queries_run_from_another_directory():
                          capture_output=True, text=True, timeout=600)
     line = [ln for ln in out.stdout.splitlines() if ln.startswith("ROWS")]
     assert line, out.stderr[-2000:]
-    n1, n2 = map(int, line[0].split()[1:])
-    assert n1 > 0 and n2 > 0
+    assert all(int(n) > 0 for n in line[0].split()[1:]) and len(line[0].split()) == 5
