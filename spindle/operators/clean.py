@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DoubleType, FloatType, MapType, NumericType,
@@ -67,25 +68,33 @@ def year_open_range(col, lo: int, hi: int) -> Column:
     return (c >= start) & (c < end)
 
 
-def first_line(lines: DataFrame, col: str = "value") -> str | None:
+def first_line(lines: DataFrame, col: str = "value", folder: str | None = None) -> str | None:
     """The first line of the first (non-empty) input file in path order - what
     a text-file reader calls the first line.  The DataFrame's first row is not
-    that: Spark packs the largest file into the first partition.  Reads one
-    row per file tried, never a whole file."""
+    that: Spark packs the largest file into the first partition.
+
+    Given their ``folder``, the file is found by a listing as a Spark job (paths
+    and lengths, no content); else by one pass over the rows' file paths.  Rows
+    that come from no file: the first one."""
     spark = lines.sparkSession
-    for path in sorted(lines.inputFiles()):
-        row = spark.read.text(path).first()
-        if row is not None:
-            return row[0]
-    row = lines.select(col).first()  # not file-backed: best effort
+    if folder:
+        path = spark.read.format("binaryFile").load(folder).where("length > 0").agg(F.min("path")).first()[0]
+        row = None if path is None else spark.read.text(path).first()
+    else:
+        try:
+            path = lines.agg(F.min("_metadata.file_path")).first()[0]
+        except AnalysisException:  # not file-backed
+            row = lines.select(col).first()
+        else:  # the path as a filter leaves one file to read
+            row = None if path is None else lines.where(F.col("_metadata.file_path") == path).select(col).first()
     return None if row is None else row[0]
 
 
-def drop_header_lines(lines: DataFrame, header: str | None = None, col: str = "value") -> DataFrame:
+def drop_header_lines(lines: DataFrame, header: str | None = None, col: str = "value", folder: str | None = None) -> DataFrame:
     """FLT-04: remove every line equal to the header; the header defaults to
     :func:`first_line` of the input."""
     if header is None:
-        header = first_line(lines, col)
+        header = first_line(lines, col, folder)
         if header is None:
             return lines
     return lines.where(~F.col(col).eqNullSafe(F.lit(header)))

@@ -52,7 +52,7 @@ def click_log_bins(spark, sf_dir):
     header = spark.range(1).select(F.lit(CLICK_LOG_HEADER).alias("value"))
     write_text(header.unionByName(lines), log_dir, col="value")
     # the header is taken from the log itself: the first line of its first file
-    text = drop_header_lines(read_lines(spark, log_dir, line_sep="\n"))
+    text = drop_header_lines(read_lines(spark, log_dir, line_sep="\n"), folder=log_dir)
     counts = (text.select(click_hour_bin(hour_from_log_line("value")).alias("hour_bin"))
               .groupBy("hour_bin").agg(F.count(F.lit(1)).alias("n_clicks")))
     out_dir = scratch_path(spark, "click-bins")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import format_us_date
@@ -15,11 +16,10 @@ from .registry import query
 _KEY = "o_orderkey"
 
 
-def _dirty_csv(spark, sf_dir) -> str:
-    """Orders in the 48 columns of the citations, as CSV: a tenth of the rows stand
-    twice, every seventh has no date, every eleventh a word for a number, states and
-    street codes are missing here and there, and years reach beyond the wanted ones."""
-    o = read_table(spark, sf_dir, "orders")
+def dirty_rows(o: DataFrame) -> DataFrame:
+    """Orders in the 48 columns of the citations, as text, and their key: every seventh
+    has no date, every eleventh a word for a number, states and street codes are
+    missing here and there, and years reach beyond the wanted ones."""
     key = F.col(_KEY)
     text = {
         "Summons Number": key.cast("string"),
@@ -33,7 +33,12 @@ def _dirty_csv(spark, sf_dir) -> str:
         "Violation Time": F.concat(F.lpad((key % 12 + 1).cast("string"), 2, "0"), F.lpad((key % 60).cast("string"), 2, "0"), F.when(key % 2 == 0, "A").otherwise("P")),
         "Violation_County": F.col("o_orderstatus"),
     }
-    rows = o.select(key, *[text.get(c, F.lit(None).cast("string")).alias(c) for c in CITATION_COLUMNS])
+    return o.select(key, *[text.get(c, F.lit(None).cast("string")).alias(c) for c in CITATION_COLUMNS])
+
+
+def _dirty_csv(spark, sf_dir) -> str:
+    """:func:`dirty_rows` as CSV; a tenth of the rows stand twice."""
+    rows, key = dirty_rows(read_table(spark, sf_dir, "orders")), F.col(_KEY)
     path = scratch_path(spark, "dirty-csv")
     rows.unionByName(rows.where(key % 10 == 0)).drop(_KEY).write.option("header", True).option("escape", '"').csv(path)
     return path
@@ -43,13 +48,16 @@ _ORDERS_SQL = "SELECT o_orderkey AS k, o_orderdate + INTERVAL 20 YEAR AS d, o_or
 _HOUR = "k % 12 + 1"
 
 
-@query("dirty_citations", "SRC-02 SRC-01 DED-01 FLT-02 NUL-01 SCL-01 SCL-03 STR-03 PRJ-08", f"""
+CLEANED_SQL = f"""
 SELECT CASE WHEN k % 3 <> 0 THEN 'NJ' ELSE 'NY' END AS "Registration State", 'PAS' AS "Plate Type", 'SUBN' AS "Vehicle Body Type", o_orderpriority || ', "x"' AS "Vehicle Make",
   'T' AS "Issuing Agency", CASE WHEN k % 4 <> 0 THEN o_custkey ELSE 0 END AS "Street Code1", 0 AS "Street Code2", 0 AS "Street Code3", k % 100 AS "Issuer Code", 'T103' AS "Issuer Command", 'A' AS "Issuer Squad",
   o_orderstatus AS "Violation_County", 'F' AS "Violation In Front Of Or Opposite", 408 AS "Law Section", dayofweek(d) + 1 AS "Issue Day", month(d) AS "Issue Month", year(d) AS "Issue Year",
   CASE WHEN k % 2 = 0 THEN CASE WHEN {_HOUR} IN (12, 1, 2, 3) THEN 1 WHEN {_HOUR} <= 7 THEN 2 ELSE 3 END ELSE CASE WHEN {_HOUR} IN (12, 1, 2, 3) THEN 4 WHEN {_HOUR} <= 7 THEN 5 ELSE 6 END END AS "Time bin"
 FROM ({_ORDERS_SQL}) o WHERE k % 11 <> 0 AND k % 7 <> 0 AND year(d) > 2012 AND year(d) < 2018
-""")
+"""
+
+
+@query("dirty_citations", "SRC-02 SRC-01 DED-01 FLT-02 NUL-01 SCL-01 SCL-03 STR-03 PRJ-08", CLEANED_SQL)
 def dirty_citations(spark, sf_dir):
     """The good rows of the dirty CSV, cleaned: copies, bad dates and other years go, defaults come in."""
     good, _ = part_csv(spark, _dirty_csv(spark, sf_dir), CITATION_SCHEMA, scratch_path(spark, "parted"), escape='"')

@@ -233,6 +233,21 @@ def iqr_filter_q(spark, sf_dir):
                                          *[_r6(c) for c in LI_NUM])
 
 
+@query("iqr_filter_texts", "FLT-05 AGG-11", """
+WITH t AS (SELECT doc_id, n_chars, length(text) - length(replace(text, ' ', '')) AS n_blanks FROM documents),
+q AS (SELECT quantile_cont(n_chars, 0.25) AS a, quantile_cont(n_chars, 0.75) AS b,
+             quantile_cont(n_blanks, 0.25) AS c, quantile_cont(n_blanks, 0.75) AS d FROM t)
+SELECT doc_id, n_chars, n_blanks FROM t, q
+WHERE NOT (coalesce(n_chars < a - 1.5 * (b - a) OR n_chars > b + 1.5 * (b - a), false)
+        OR coalesce(n_blanks < c - 1.5 * (d - c) OR n_blanks > d + 1.5 * (d - c), false))
+""")
+def iqr_filter_texts(spark, sf_dir):
+    """Documents without those of unusual length: lengths have a long tail, so the fence takes rows away."""
+    blanks = F.char_length("text") - F.char_length(F.replace("text", F.lit(" "), F.lit("")))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", blanks.cast("bigint").alias("n_blanks"))
+    return iqr_filter(docs, ["n_chars", "n_blanks"])
+
+
 @query("topk_per_group", "AGG-10 FLT-06", """
 SELECT event_type, user_id, "count", "rank" FROM (
   SELECT event_type, user_id, count(*) AS "count",

@@ -64,7 +64,9 @@ BOUNDED_ACTIONS = {
     "plans/core.py": {"first": 1},            # max key: one row
     "streaming/jobs.py": {"first": 2},        # batch metrics and a topic's time span: one row each
     "operators/inference.py": {"collect": 1, "count": 1},  # the number of centroid values, then these, at most MAX_MODEL_VALUES
-    "operators/clean.py": {"first": 3},       # one line per file tried; null ratios (one row)
+    "operators/clean.py": {"first": 6},       # the first file's path and its line, by three ways; null ratios (one row)
+    "sources/bucketed.py": {"first": 1},      # the largest bucket's rows and all rows: one row
+    "plans/observed.py": {"collect": 1},      # one mean per event type
     "operators/features.py": {"first": 2},  # min/max row; distinct values per column
     "operators/quantile.py": {"first": 2, "toPandas": 2},  # stats rows; <= targets x max_collect
                                                            # values; <= intervals x buckets rows
