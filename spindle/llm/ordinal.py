@@ -23,6 +23,7 @@ FEATURE_BITS = 21
 LEAST_STEPS = 500
 MIN_DOCS = 8  # a feature of fewer documents of the sample has no weight
 MAX_LABELLED = 20_000  # rows that the model is fitted on at most; every document is scored
+MAX_SENT = 1_000_000  # ids and grades that are sent to every task at most, 12 bytes each
 
 
 def shape_values() -> np.ndarray:
@@ -161,11 +162,16 @@ def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_g
     kept (:data:`KEEP_BEST`), so others are let through as little as that allows;
     it is 0.5 where the sample has none.
     At most ``max_rows`` ratings are used, chosen by a hash of ``doc_id``; repeated
-    ratings of a document count once, the lowest.  One task fits the model, on the
-    hashed features of that bounded sample; null ids and grades are left out."""
+    ratings of a document count once, the lowest.  The sample's ids and grades go to
+    every task, as they are at most ``max_rows`` pairs of numbers (more than
+    :data:`MAX_SENT` are joined by a shuffle), and only features of the sampled texts
+    move.  Of rows that repeat an id, one counts: that of least features.  One task
+    fits the model, on the hashed features of that bounded sample; null ids and grades
+    are left out."""
     rated = ratings.filter("doc_id is not null and grade is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("grade").alias("grade"))
     sample = rated.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(max_rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(sample, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    texts = texts.join(F.broadcast(sample) if max_rows <= MAX_SENT else sample, "doc_id").select("doc_id", "text", "grade")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +192,8 @@ def train(docs: DataFrame, ratings: DataFrame, max_rows: int = MAX_LABELLED, n_g
         yield pa.RecordBatch.from_pylist([{"features": some.tolist(), "weights": weights[some].tolist(), "thresholds": thresholds.tolist(), "least": least}],
                                          pa.schema([("features", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64())), ("least", pa.float64())]))
 
-    sampled = texts.mapInArrow(extract, "doc_id long, grade int, ids binary").repartition(1)
+    found = texts.mapInArrow(extract, "doc_id long, grade int, ids binary")
+    sampled = found.groupBy("doc_id").agg(F.min(F.struct("ids", "grade")).alias("row")).select("doc_id", "row.grade", "row.ids").repartition(1)
     return tuple(sampled.mapInArrow(learn, "features array<long>, weights array<double>, thresholds array<double>, least double").collect()[0])
 
 
