@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_batches, text_or_empty
-from .shingles import mix, word_hashes
+from .shingles import mix, powers, word_hashes
 
 FEATURE_BITS = 21
 LEAST_STEPS = 500
+BEGINNINGS = range(4, 13)  # bytes of a word's beginning that are features of their own
 MIN_DOCS = 8  # a feature of fewer documents of the sample has no weight
 MAX_LABELLED = 20_000  # rows that the model is fitted on at most; every document is scored
 MAX_SENT = 1_000_000  # ids and grades that are sent to every task at most, 12 bytes each
@@ -50,11 +51,34 @@ CAPITALS = np.zeros(256, np.uint64)
 CAPITALS[ord("A"):ord("Z") + 1] = 1
 
 
+def beginnings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed first bytes of every word that goes on after them, of each number of bytes in
+    :data:`BEGINNINGS`, and the number of the text of each.
+
+    A word is here a run of letters (and bytes outside ASCII), in lower case.  What
+    words share by their stem stands in more texts than any one of their forms, so it
+    can be learnt from few ratings."""
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    value = LETTERS[data]
+    edge = np.diff((value != 0).view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+    total, found, owners = np.zeros(len(starts), np.uint64), [], []
+    for k, factor in enumerate(powers(max(BEGINNINGS))):
+        longer = ends - starts > k + 1
+        starts, ends, owner, total = starts[longer], ends[longer], owner[longer], total[longer]
+        total = total + value[starts + k] * factor
+        if k + 1 in BEGINNINGS:
+            found.append(mix(total + np.uint64(5000 + k)))
+            owners.append(owner)
+    return np.concatenate(found), np.concatenate(owners)
+
+
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed features of each text, one list after another, and their numbers.
 
-    A text has its words (their letters alone, in lower case), the shapes of their
-    other characters, the patterns of their capitals, the logarithm of how many
+    A text has its words (their letters alone, in lower case), the beginnings of
+    words, the shapes of their other characters, the patterns of their capitals, the logarithm of how many
     words equal the word before, and the tenth of its words that are distinct."""
     words, counts = word_hashes(texts, LETTERS)
     shapes, _ = word_hashes(texts, SHAPES)
@@ -69,6 +93,9 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     hashed = [words, mix(shapes + np.uint64(1)), mix(capitals + np.uint64(2)), mix(np.log2(again + 1).astype(np.uint64) + np.uint64(1000)), mix(tenth.astype(np.uint64) + np.uint64(2000))]
     owners = [owner, owner, owner, np.flatnonzero(counts), np.flatnonzero(counts)]
     hashed[3:] = [h[counts > 0] for h in hashed[3:]]
+    starts, beginners = beginnings(texts)
+    hashed.append(starts)
+    owners.append(beginners)
     shift = np.uint64(64 - FEATURE_BITS)
     distinct = np.unique(np.concatenate([(o << FEATURE_BITS) | (h >> shift).astype(np.int64) for o, h in zip(owners, hashed, strict=True)]))
     return distinct & ((1 << FEATURE_BITS) - 1), np.bincount(distinct >> FEATURE_BITS, minlength=n)

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -370,6 +371,60 @@ def test_ordinal_regression_holds_out(spark, docs, nothing):
     assert ordinal.score_documents(docs, empty).count() == docs.count()
 
 
+def test_word_beginnings_equal_plain_slices():
+    texts = [t.encode() for t in EDGE if t is not None] + [b"", b"Vilest, vile-ness  x1vileness", "größenwahn Größe".encode()]
+    hashed, owners = ordinal.beginnings(texts)
+    got = [sorted(hashed[owners == i].tolist()) for i in range(len(texts))]
+    hash_of = {}
+    for t, g in zip(texts, got, strict=True):
+        words = re.findall(rb"[a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), t))
+        plain = [w[:k] for w in words for k in ordinal.BEGINNINGS if len(w) > k]
+        assert len(plain) == len(g)
+        for w in set(plain):
+            one, _ = ordinal.beginnings([w + b"z"])
+            hash_of[w] = int(one[list(ordinal.BEGINNINGS).index(len(w))])
+        assert sorted(hash_of[w] for w in plain) == g
+    assert len(set(hash_of.values())) == len(hash_of)
+
+
+def test_likelihood_slopes_equal_differences():
+    """One pass of one batch moves weights and thresholds against the numerical gradient of the likelihood."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 12, 5)) for _ in range(60)]
+    ids, counts, grades = np.concatenate(sets), np.array([len(x) for x in sets]), rng.integers(0, 3, 60)
+    balance = (60 / np.bincount(grades, minlength=3) / 3)[grades]
+
+    def loss(w, cut):
+        thresholds = np.cumsum([cut[0], np.exp(cut[1])])
+        total = 0.0
+        for x, y, b in zip(sets, grades, balance, strict=True):
+            least = [1.0, *(1 / (1 + np.exp(t - w[x].sum())) for t in thresholds), 0.0]
+            total -= b * np.log(least[y] - least[y + 1]) / 60
+        return total
+
+    w, th = ordinal.fit(ids, counts, grades, 3, passes=6000, rate=0.05, sparse=0.0, decay=0.0, batch=60)
+    w, cut = w[:12], np.array([th[0], np.log(th[1] - th[0])])
+    step = 1e-5
+    for k in range(12):  # at the optimum a weight has no slope, or it is held at 0 against one that would raise it
+        d = np.eye(12)[k] * step
+        slope = (loss(w + d, cut) - loss(w - d, cut)) / (2 * step)
+        assert abs(slope) < 2e-3 if w[k] < -1e-3 else slope < 2e-3
+    for k in range(2):
+        d = np.eye(2)[k] * step
+        assert abs(loss(w, cut + d) - loss(w, cut - d)) / (2 * step) < 2e-3
+
+
+def test_forms_unseen_in_the_sample_are_found_by_their_stem(spark):
+    """Grade 1 has a word of one stem, in a form of its own each; repeated rows and ids count once."""
+    rows = [(i, prose(60, 7000 + i) + (f" grumbel{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100]}" if i % 4 == 0 else "")) for i in range(800)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    rated = frame.selectExpr("doc_id", "IF(doc_id % 4 = 0, 1, 2) AS grade").filter("doc_id % 3 > 0")
+    model = ordinal.train(frame, rated)
+    assert model == ordinal.train(frame.unionByName(frame.filter("doc_id < 50")), rated.unionByName(rated)) == ordinal.train(frame, rated, max_rows=ordinal.MAX_SENT + 1)
+    got = {r.doc_id: r.selected for r in ordinal.score_documents(frame, model).filter("doc_id % 3 = 0").collect()}
+    assert not any(s for i, s in got.items() if i % 4 == 0) and np.mean([s for i, s in got.items() if i % 4]) >= 0.98
+
+
 def test_selection_is_as_strict_as_the_best_grade_allows(spark):
     """The least probability is the best documents' own quantile, also above 0.5; alike documents are kept alike."""
     rows = [(i, prose(60, 5000 + i) + (" vile" if i % 4 == 0 else "")) for i in range(400)]
