@@ -10,6 +10,8 @@ double-precision products of what it finds make the result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 from .common import staged
 
 SHARD_ROWS = 8192
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 512
+MOST_PARTS = 20_000
 DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 28, 48, 128, 1.2
 
 
@@ -189,16 +192,21 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
     return rows.select("dim", "shard", "vec_id", "vector").groupBy("dim", "shard").applyInArrow(build, INDEX)
 
 
-def search_shard(queries: pa.Table, shard: dict, k: int, beam: int) -> pa.Table:
-    """The nearest ``k`` of a shard for each query, with exact scores; ties go to smaller ids."""
+def opened(shard: dict) -> tuple[np.ndarray, Graph, list[list[int]]]:
+    """A shard's vectors, their graph and the ids of each."""
     vectors = np.frombuffer(shard["distinct_vectors"], np.float64).reshape(-1, shard["dim"])
     graph = Graph(augmented(vectors), np.frombuffer(shard["edges"], np.int32).reshape(len(vectors), -1), shard["start"])
-    copies = shard["ids"]
+    return vectors, graph, shard["ids"]
+
+
+def search_shard(queries: pa.Table, shard: tuple[np.ndarray, Graph, list[list[int]]], k: int, beam: int) -> pa.RecordBatch:
+    """The nearest ``k`` of an opened shard for each query, with exact scores; ties go to smaller ids."""
+    vectors, graph, copies = shard
     out = []
     own, asked = queries.column("query_id").to_numpy(), vectors_of(queries.column("vector"))
     names = queries.column("query").to_numpy()
-    for i in range(0, len(own), 512):
-        q = asked[i:i + 512]
+    for i in range(0, len(own), QUERY_BLOCK):
+        q = asked[i:i + QUERY_BLOCK]
         found, _, _ = graph.search(np.concatenate([q, np.zeros((len(q), 1))], axis=1), min(beam, len(vectors)))
         products = np.einsum("ijk,ik->ij", vectors[found], q)
         for r in range(len(q)):
@@ -207,7 +215,26 @@ def search_shard(queries: pa.Table, shard: dict, k: int, beam: int) -> pa.Table:
             hits.sort()
             out += [(names[i + r], own[i + r], v, -p) for p, v in hits[:k]]
     columns = list(zip(*out, strict=True)) if out else [[]] * 4
-    return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.float64())], names=["query", "query_id", "vec_id", "score"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query", "query_id", "vec_id", "score"])
+
+
+def search_stream(batches: Iterator[pa.RecordBatch], k: int, beam: int) -> Iterator[pa.RecordBatch]:
+    """Answers of a stream where each shard's index row stands before that shard's queries.
+
+    Holds one opened shard and one batch of queries, however many queries there are.
+    A shard that got no vectors has no index row, and its queries find nothing there."""
+    shard, place = None, None
+    for batch in batches:
+        indexed = batch.column("edges").is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.unique([0, *np.flatnonzero(indexed), *(np.flatnonzero(indexed) + 1), batch.num_rows])
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if indexed[a]:
+                shard, place = opened(batch.slice(a, 1).to_pylist()[0]), batch.column("place")[a].as_py()
+                continue
+            asked = pa.Table.from_batches([batch.slice(a, b - a)])
+            asked = asked.filter(pa.array(asked.column("place").to_numpy() == place))
+            if asked.num_rows:
+                yield search_shard(asked, shard, k, beam)
 
 
 def nearest(embeddings: DataFrame, k: int = 20, every: int = 20, beam: int = SEARCH_BEAM, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -219,23 +246,21 @@ def nearest(embeddings: DataFrame, k: int = 20, every: int = 20, beam: int = SEA
     once, and a query compares with vectors of its own length.  A query never
     finds rows of its own ``vec_id``.  Other columns are ignored.
 
-    Queries go to the shards in blocks: a task holds one shard and one block.
+    Each shard's index is read by one task, which streams all queries of its
+    length through it: an index moves once, a query once per shard.
     """
     vectors = staged(usable(embeddings), "vectors")
     index = staged(build_index(vectors, k, shard_rows), "ann-index")
-    queries = vectors.filter(F.col("vec_id") % every == 0).select("dim", F.xxhash64("vec_id", "vector").alias("query"), F.col("vec_id").alias("query_id"), "vector")
-    blocks = queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks"))
-    shards = index.groupBy("dim").agg(F.collect_list("shard").alias("shards"))
-    queries = (queries.join(blocks, "dim").withColumn("block", F.pmod("query", F.col("blocks").cast("long")).cast("int"))
-               .join(shards, "dim").withColumn("shard", F.explode("shards")).select("dim", "shard", "block", "query", "query_id", "vector"))
-    copies = index.join(blocks, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-
-    def search(asked: pa.Table, shard: pa.Table) -> pa.Table:
-        if not asked.num_rows or not shard.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())], names=["query", "query_id", "vec_id", "score"])
-        return search_shard(asked, shard.to_pylist()[0], k, beam)
-
-    key = ["dim", "shard", "block"]
-    found = queries.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(search, "query long, query_id long, vec_id long, score double")
+    dims = index.groupBy("dim").agg(F.max("shard").alias("last"))  # one row per length of vectors
+    before = F.sum(F.col("last") + 1).over(W.orderBy("dim")) - F.col("last") - 1
+    dims = staged(dims.select("dim", "last", before.cast("long").alias("before")), "ann-shards")
+    queries = (vectors.filter(F.col("vec_id") % every == 0).join(dims, "dim")
+               .select("dim", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("shard"), "before", F.xxhash64("vec_id", "vector").alias("query"), F.col("vec_id").alias("query_id"), "vector"))
+    rows = index.join(dims.select("dim", "before"), "dim").unionByName(queries, allowMissingColumns=True)
+    rows = rows.withColumn("place", (F.col("before") + F.col("shard")).cast("int")).drop("before")
+    total = dims.agg(F.sum(F.col("last") + 1).alias("n")).first().n or 1
+    # a partition per shard, which is not coalesced; a shard's index row comes before its queries
+    parts = rows.repartitionById(min(total, MOST_PARTS), F.col("place")).sortWithinPartitions("place", F.col("query").isNotNull())
+    found = parts.mapInArrow(lambda batches: search_stream(batches, k, beam), "query long, query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

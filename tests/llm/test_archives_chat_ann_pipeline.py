@@ -8,6 +8,7 @@ import struct
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -236,3 +237,36 @@ def test_registration():
 
     assert set(QUERIES) <= set(e.queries()) and "pipeline" in e.queries()
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
+
+
+def test_neighbours_stream_through_one_index_each(spark, monkeypatch):
+    """Several shards in a task and queries over many Arrow batches find the same rows; an index is not copied."""
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=6 if i % 5 else 3).tolist()) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, ann.nearest(frame, shard_rows=60).collect()))
+    few = spark.createDataFrame(rows[:40], "vec_id long, embedding array<double>")  # about a vector a shard: some shards get none
+    assert sorted(tuple(r)[:3] for r in ann.nearest(few, shard_rows=1).collect()) == brute(rows[:40], 20, 20)
+    assert len({q for q, *_ in want}) == 45 and len(want) == 45 * 20
+    assert len({t[:3] for t in want} & set(brute(rows, 20, 20))) >= 0.95 * len(want)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    monkeypatch.setattr(ann, "MOST_PARTS", 4)
+    try:
+        assert sorted(map(tuple, ann.nearest(frame, shard_rows=60).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_an_index_row_stands_before_its_queries():
+    points = np.random.default_rng(8).normal(size=(50, 4))
+    graph = ann.Graph.build(ann.augmented(points))
+    index = {"dim": 4, "place": 3, "distinct_vectors": points.tobytes(), "edges": graph.edges.tobytes(), "start": graph.start, "ids": [[i] for i in range(50)], "query": None, "query_id": None, "vector": None}
+    ask = [{"dim": 4, "place": 3, "distinct_vectors": None, "edges": None, "start": None, "ids": None, "query": i, "query_id": i, "vector": points[i].tolist()} for i in range(10)]
+    schema = pa.schema([("dim", pa.int32()), ("place", pa.int32()), ("distinct_vectors", pa.binary()), ("edges", pa.binary()), ("start", pa.int32()), ("ids", pa.list_(pa.list_(pa.int64()))),
+                        ("query", pa.int64()), ("query_id", pa.int64()), ("vector", pa.list_(pa.float64()))])
+    stream = pa.RecordBatch.from_pylist([index, *ask[:4], index, *ask[4:]], schema)
+    without = pa.RecordBatch.from_pylist([{**a, "place": 4} for a in ask], schema)  # a shard without an index row
+    got = pa.Table.from_batches(ann.search_stream(iter([without, stream, stream.slice(6, 5), stream.slice(0, 0), without]), 5, 50)).to_pylist()
+    assert len(got) == 75
+    for r in got:
+        assert r["score"] == pytest.approx(float(points[r["query"]] @ points[r["vec_id"]])) and r["vec_id"] != r["query"]
