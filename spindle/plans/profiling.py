@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import dedup, drop_null_heavy, fill_defaults, iqr_filter
 from ..operators.profile import (boxplot_stats, duplicate_keys, frequency, frequency_many,
-                                 histogram, null_nan_counts, quartiles, row_count, summary,
+                                 histogram, histogram_by, null_nan_counts, quartiles, row_count, summary,
                                  top_k_per_group)
 from ..operators.split import split_label
 from ..sources.readers import load_table, read_table
@@ -170,6 +170,31 @@ def histogram10(spark, sf_dir):
     return h.select(F.col("column").alias("column_name"), "bin", _r6("bin_lo"), _r6("bin_hi"), "count")
 
 
+@query("histogram_by_group", "AGG-08", """
+WITH long AS (""" + " UNION ALL ".join(
+    f"SELECT l_returnflag AS category, '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM lineitem" for c in _HIST_COLS) + """),
+v AS (SELECT * FROM long WHERE x IS NOT NULL AND NOT isnan(x)),
+rng AS (SELECT column_name,
+               CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+               CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi
+        FROM v GROUP BY 1),
+cnt AS (SELECT category, column_name, CAST(least(floor((x - lo) * 10 / (hi - lo)), 9) AS INTEGER) AS bin,
+               count(*) AS n
+        FROM v JOIN rng USING (column_name) GROUP BY 1, 2, 3),
+grid AS (SELECT category, column_name, lo, hi, CAST(unnest(range(0, 10)) AS INTEGER) AS bin
+         FROM (SELECT DISTINCT category, column_name FROM v) JOIN rng USING (column_name))
+SELECT g.category, g.column_name, g.bin,
+       round(lo + g.bin * ((hi - lo) / 10), 6) AS bin_lo,
+       round(CASE WHEN g.bin = 9 THEN hi ELSE lo + (g.bin + 1) * ((hi - lo) / 10) END, 6) AS bin_hi,
+       coalesce(n, 0) AS "count"
+FROM grid g LEFT JOIN cnt c ON g.category IS NOT DISTINCT FROM c.category AND g.column_name = c.column_name AND g.bin = c.bin
+""")
+def histogram_by_group(spark, sf_dir):
+    """Histograms per return flag over common edges."""
+    h = histogram_by(read_table(spark, sf_dir, "lineitem"), "l_returnflag", _HIST_COLS, bins=10)
+    return h.select(F.col("group").alias("category"), F.col("column").alias("column_name"), "bin", _r6("bin_lo"), _r6("bin_hi"), "count")
+
+
 _Q_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median, "
     f"quantile_cont({c}, 0.75) AS q3 FROM lineitem" for c in LI_NUM)

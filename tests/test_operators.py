@@ -12,7 +12,7 @@ from spindle.operators.clean import (dedup, drop_header_lines, equals_typed, fil
 from spindle.operators.metrics import accuracy_f1
 from spindle.operators.models import evaluate
 from spindle.operators.profile import (boxplot_stats, duplicate_keys, frequency, frequency_many,
-                                       histogram, null_nan_counts, summary, top_k_per_group)
+                                       histogram, histogram_by, null_nan_counts, summary, top_k_per_group)
 from spindle.operators.quantile import exact_quantiles
 from spindle.operators.split import hash_split
 
@@ -48,6 +48,29 @@ def test_histogram_matches_numpy_and_constant_column(spark):
     assert [h[("c", i)] for i in range(10)] == ccounts.tolist()
 
 
+def test_histogram_by_matches_numpy_per_category(spark):
+    rng = np.random.default_rng(2)
+    x, group = rng.normal(10, 3, 3000), rng.choice(["a", "b", "c"], 3000, p=[0.9, 0.09, 0.01]).tolist()
+    rows = [(g, float(v), 4.0, None if g == "c" else 1.0) for g, v in zip(group, x)]
+    rows += [(None, 11.0, 4.0, 2.0), ("d", None, None, float("nan"))]
+    df = spark.createDataFrame(rows, "group string, `x.y` double, c double, column double")
+    got = histogram_by(df.withColumnRenamed("x.y", "x"), "group", ["x", "c", "column"], 7)
+    assert got.columns == ["group", "column", "bin", "bin_lo", "bin_hi", "count"]
+    got = {(r["group"], r["column"], r["bin"]): r for r in got.collect()}
+    edges = np.histogram_bin_edges([*x, 11.0], 7)
+    for g in ("a", "b", "c"):
+        want = np.histogram(x[np.array(group) == g], edges)[0].tolist()
+        assert [got[(g, "x", i)]["count"] for i in range(7)] == want
+        assert np.allclose([got[(g, "x", i)]["bin_lo"] for i in range(7)], edges[:-1]) and got[(g, "x", 6)]["bin_hi"] == edges[-1]
+        assert [got[(g, "c", i)]["count"] for i in range(7)] == [0, 0, 0, sum(want), 0, 0, 0]
+    assert sum(got[(None, "x", i)]["count"] for i in range(7)) == 1 and got[(None, "column", 6)]["count"] == 1
+    # no value, no rows: "c" has none in the last column and "d" in no column
+    assert {k[:2] for k in got} == {*[(g, c) for g in ("a", "b", None) for c in ("x", "c", "column")], ("c", "x"), ("c", "c")}
+    assert histogram_by(df.limit(0), "group", ["c"]).collect() == []
+    with pytest.raises(Exception, match="infinite value in c"):
+        histogram_by(spark.createDataFrame([("a", float("inf"))], "g string, c double"), "g", ["c"]).collect()
+
+
 def test_frequency_ties_and_null_group(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("a",), (None,), ("c",)], "v string")
     rows = [tuple(r) for r in frequency(df, "v").collect()]
