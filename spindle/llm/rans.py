@@ -18,7 +18,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -126,9 +126,18 @@ def decode_block(data: bytes, table: SharedTable) -> np.ndarray:
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 
-# The same split for texts of Latin letters, in the standard library's faster engine; what differs there is looked for first.
-LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-NOT_LATIN = re.compile(r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u024f]")
+# The same split for texts of Latin letters, in the standard library's faster engine, with letters and digits as
+# explicit ranges; what differs there is looked for first.
+ASCII_PIECES = re.compile(r" ?[a-zA-Z]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[!-/:-@\[-`{-~\x00-\x08\x0e-\x1b\x7f]+|\s+(?!\S)|\s+")
+LATIN_PIECES = re.compile(r" ?[a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+NOT_LATIN = re.compile(r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: printable Latin-1 itself, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class PieceEncoder:
@@ -136,11 +145,13 @@ class PieceEncoder:
 
     Added tokens are cut out first, the text between is split as the library's
     byte-level pre-tokenizer does, and pre-tokens not met before go through the
-    library.  At most ``remember`` are kept.  Ids are little-endian, of 2 bytes
+    library's model.  At most ``remember`` are kept, and the half met first, which
+    has the frequent ones, outlives the rest.  Ids are little-endian, of 2 bytes
     where the vocabulary allows."""
 
     def __init__(self, path: str, remember: int = 500_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -148,34 +159,32 @@ class PieceEncoder:
         self.dtype = ids_dtype(self.size)
         self.added = {k: np.array([i], self.dtype).tobytes() for k, i in added.items()}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        # nothing stands between a pre-token and the model but its bytes' letters
+        self.plain = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and not self.tokenizer.pre_tokenizer.add_prefix_space
         self.known: dict[str, bytes] = {}
         self.remember = remember
 
     def learn(self, new: list[str]) -> None:
-        """Ids of pre-tokens from the library; those that begin with a blank are sent side by side."""
-        alone = [p for p in new if p[0] != " " or p.isspace()]
-        blank = [p for p in new if p[0] == " " and not p.isspace()]
-        rows = [blank[i:i + 64] for i in range(0, len(blank), 64)]
-        for row, e in zip(rows, self.tokenizer.encode_batch(["".join(r) for r in rows], add_special_tokens=False), strict=True):
-            ids, words = np.array(e.ids, self.dtype), np.array(e.word_ids)
-            cuts = [0, *(np.flatnonzero(words[1:] != words[:-1]) + 1).tolist(), len(ids)]
-            if len(cuts) != len(row) + 1:  # not split as expected: one by one
-                alone += row
-                continue
-            data, step = ids.tobytes(), ids.itemsize
-            self.known.update((p, data[a * step:b * step]) for p, a, b in zip(row, cuts, cuts[1:], strict=False))
-        for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, self.dtype).tobytes()
+        """Ids of pre-tokens from the library: of whole pre-tokens by its model, else by all its steps."""
+        if not self.plain:
+            self.known.update((p, np.array(e.ids, self.dtype).tobytes()) for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True))
+            return
+        tokens, letters = self.model.tokenize, self.letters
+        ids = [[t.id for t in tokens(p.encode().decode("latin-1").translate(letters))] for p in new]
+        ends = np.cumsum([0, *map(len, ids)]) * np.dtype(self.dtype).itemsize
+        data = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
+        self.known.update((p, data[a:b]) for p, a, b in zip(new, ends[:-1].tolist(), ends[1:].tolist(), strict=True))
 
     def split(self, text: str) -> list[str]:
-        find = PIECES.findall if NOT_LATIN.search(text) else LATIN_PIECES.findall
+        find = (PIECES if NOT_LATIN.search(text) else ASCII_PIECES if text.isascii() else LATIN_PIECES).findall
         if self.specials is None or not any(s in text for s in self.added):
             return find(text)
         return list(chain.from_iterable([p] if p in self.added else find(p) for p in self.specials.split(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.remember:
-            self.known.clear()
+            self.known = dict(islice(self.known.items(), self.remember // 2))
         self.known.update(self.added)
         get = self.known.get
         split = [self.split(t) for t in texts]

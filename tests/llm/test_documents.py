@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 
@@ -97,6 +98,24 @@ def test_token_files_equal_the_library(docs, nothing):
     assert rans.token_files(nothing, path, 2).collect() == []
 
 
+def test_pre_tokens_are_the_librarys_and_the_frequent_stay():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    rng = random.Random(7)
+    chars = [chr(c) for c in range(0x300)] + list(" \u2003\u3000中ПŒ\U0001f600") + [" "] * 99 + ["'s", "'LL", "\n ", "<|endoftext|>"] * 5
+    texts = ["", " ", *(f"a{c} {c}{c}'{c}1{c}" for c in chars), *("".join(rng.choices(chars[:128] if i % 2 else chars, k=60)) for i in range(400))]
+    want = [np.array(e.ids, "<u2").tobytes() for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    encoder = rans.PieceEncoder(path, remember=8)
+    assert [encoder.encode([t])[0] for t in texts] == want
+    asked, encoder = [], rans.PieceEncoder(path, remember=8)
+    learn, encoder.learn = encoder.learn, lambda new: (asked.extend(new), learn(new))
+    encoder.encode(["one two"])
+    for i in range(20):  # the pre-tokens met first outlive those that come once
+        assert encoder.encode([f"one two {i} " + " ".join(f"w{i}x{k}" for k in range(6))])
+    assert asked.count("one") == asked.count(" two") == 1
+
+
 def test_rans_blocks_round_trip_and_detect_damage():
     rng = np.random.default_rng(0)
     for n in (0, 1, 5, 4095, 4097, 50_000):
