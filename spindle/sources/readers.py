@@ -96,15 +96,28 @@ def read_whole_texts(spark: SparkSession, path: str | Sequence[str]) -> DataFram
             .select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
+#: Scan partitions that one task reads one after another, where there are more than the cores can take at once.
+SCANS_A_TASK = 64
+
+
 def read_binary_files(spark: SparkSession, path: str, glob: str | None = None,
                       recursive: bool = True, with_content: bool = True) -> DataFrame:
     """SRC-10: ``path, modificationTime, length, content``.  Drop ``content``
     early (``with_content=False``) when only names and sizes are needed: the
-    scan then skips reading the bytes."""
+    scan then skips reading the bytes.
+
+    Spark counts 4 MB for opening a file, so a scan partition holds 32 small
+    files at most; up to ``SCANS_A_TASK`` of them are read by one task, with four
+    tasks a core at least."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(path)
+    try:
+        scans, least = df.rdd.getNumPartitions(), 4 * spark.sparkContext.defaultParallelism
+        df = df.coalesce(max(least, -(-scans // SCANS_A_TASK))) if scans > least else df
+    except Exception:  # no RDD API (e.g. a Spark Connect session): leave as is
+        pass
     return df if with_content else df.drop("content")
 
 

@@ -5,7 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from spindle.sources import objects
 from spindle.sources.objects import ObjectStream, object_arrivals, visible_objects, write_objects, file_system
+from spindle.sources.readers import read_binary_files
 from spindle.streaming.jobs import run_available_now
 from spindle.streaming.stateful import dedup_with_late_rows, state_rows
 
@@ -28,6 +30,30 @@ def test_one_file_a_row(spark, tmp_dir):
     assert "a%2Fb/9.bin" in _files(tmp_dir) and "a%2Fb/1.bin" in _files(tmp_dir)
 
 
+def test_many_files_are_moved_and_read_by_few_large_tasks_on_all_cores(spark, tmp_dir, monkeypatch):
+    cores, marks, moved = spark.sparkContext.defaultParallelism, f"{tmp_dir}/marks", objects.put_in_place
+    os.makedirs(marks)
+
+    def marked(root):
+        def run(batches):
+            from pyspark import TaskContext
+            for batch in moved(root)(batches):
+                open(f"{marks}/{TaskContext.get().partitionId()}", "w").close()
+                yield batch
+        return run
+
+    monkeypatch.setattr(objects, "put_in_place", marked)
+    n = 32 * 5 * cores
+    df = spark.range(0, n, 1, 4).select("id", F.lit("l").alias("label"))
+    write_objects(df, f"{tmp_dir}/all", "label", F.col("id").cast("string"), F.col("id").cast("string").cast("binary"))
+    assert len(os.listdir(marks)) == 4  # a task for each that has written, not one for all
+    files = read_binary_files(spark, f"{tmp_dir}/all")
+    assert files.rdd.getNumPartitions() == 4 * cores  # before: 32 files a task
+    assert sorted(int(r.content) for r in files.select("content").collect()) == [*range(n)]
+    scan = read_binary_files(spark, f"{tmp_dir}/all", with_content=False).select("path")
+    assert "content:binary" not in scan._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("bad", ["twice", "nameless", "late failure"])
 def test_a_failed_write_leaves_no_files(spark, tmp_dir, bad):
     df = spark.range(40, numPartitions=2).select(F.col("id"), F.lit("l").alias("label"))
