@@ -12,7 +12,7 @@ from ..operators.clean import CleanSpec, clean, feature_columns
 from ..operators.features import (TEXT_FEATURES, assembler, category_bins, index_to_string,
                                   minmax_scale, minmax_scaler, string_indexer, text_features,
                                   without_features)
-from ..operators.models import (EXPLORATION_GRID, classifier_grids, cross_validate, decision_tree,
+from ..operators.models import (EXPLORATION_GRID, classifier_grids, cross_validate, decision_tree, deep_forest,
                                 feature_importances, grid_of, logistic_regression, naive_bayes, persist,
                                 random_forest, score_report, train_pipelines, unpersist, with_features)
 from ..operators.split import hash_split, split_label
@@ -212,7 +212,7 @@ def cv_models(spark, sf_dir):
     sides = persist(*hash_split(_text_training_frame(spark, sf_dir, drop=("n_digits",)), "doc_id", 80))
     features = Pipeline(stages=[assembler(names, "counts"), minmax_scaler("counts", "features")]).fit(sides[0])
     scaled, = persist(features.transform(sides[0]))
-    lr, rf = logistic_regression(maxIter=100), random_forest(numTrees=3, maxDepth=2, maxBins=32)
+    lr, rf = logistic_regression(maxIter=100), deep_forest(numTrees=3, maxDepth=2, maxBins=32)
     nb, dt = naive_bayes(), decision_tree()
     best = {}
     for name, (est, grid) in classifier_grids(lr, rf, nb, dt).items():
@@ -225,7 +225,7 @@ def cv_models(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     """A pipeline of assembler and forest, cross-validated over the exploration's grid."""
     train, = persist(hash_split(_text_training_frame(spark, sf_dir), "doc_id", 80)[0])
-    rf = random_forest(numTrees=3, maxDepth=2, maxBins=32)
+    rf = deep_forest(numTrees=3, maxDepth=2, maxBins=32)
     pipeline = Pipeline(stages=[assembler(TEXT_FEATURES), rf])
     model = cross_validate(pipeline, grid_of(rf, EXPLORATION_GRID), train).bestModel.stages[1]
     unpersist(train)

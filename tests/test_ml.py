@@ -102,3 +102,38 @@ def test_exploration_grid_and_batch_quarantine(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/o/predictions").where("kind = predictedLabel").count() == 8
     assert spark.read.parquet(f"{tmp_dir}/o/quarantine").count() == 4
     assert [r["n"] for r in spark.read.parquet(f"{tmp_dir}/o/metrics").collect()] == [4, 4]
+
+
+def test_deep_grids_keep_the_rows_nodes_and_grow_the_same_trees(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from spindle.operators.features import TEXT_FEATURES
+    from spindle.operators.models import deep_forest
+    from spindle.plans import ml
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("Ab, 1\n"), (F.col("id") % 7).cast("int")), F.md5(F.col("id").cast("string"))).alias("text"))
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    docs.select("doc_id", (F.xxhash64("doc_id") % 2 == 0).cast("long").alias("quality")).write.parquet(f"{tmp_dir}/labels.parquet")
+    asked = []
+
+    class Asked(Exception):
+        pass
+
+    def ask(estimator, grid, train):
+        asked.extend(getattr(estimator, "getStages", lambda: [estimator])())
+        if asked[-1].hasParam("numTrees"):
+            raise Asked
+        raise AssertionError(estimator)
+
+    monkeypatch.setattr(ml, "cross_validate", ask)
+    with pytest.raises(Asked):
+        ml.feature_importance(spark, tmp_dir)
+    assert asked[-1].getCacheNodeIds()
+    monkeypatch.setattr(ml, "classifier_grids", lambda lr, rf, nb, dt: {"rf": (rf, [])})
+    with pytest.raises(Asked):
+        ml.cv_models(spark, tmp_dir)
+    assert asked[-1].getCacheNodeIds()
+    train = assembler(TEXT_FEATURES).transform(ml._text_training_frame(spark, tmp_dir)).coalesce(2).cache()
+    grown = [f(numTrees=5, maxDepth=12, maxBins=32).fit(train) for f in (random_forest, deep_forest)]
+    trees = [[t.toDebugString.split("\n", 1)[1] for t in m.trees] for m in grown]
+    assert trees[0] == trees[1] and max(t.depth for t in grown[0].trees) > 5
+    train.unpersist()
