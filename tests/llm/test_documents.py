@@ -116,6 +116,34 @@ def test_pre_tokens_are_the_librarys_and_the_frequent_stay():
     assert asked.count("one") == asked.count(" two") == 1
 
 
+def test_latin_texts_go_through_arrays_and_many_pre_tokens_through_one_call():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("byte_bpe_50k.json")
+    library, rng = Tokenizer.from_file(path), random.Random(3)
+    chars = list("aestmdvrl'''  \n\t\r\v\xa0\x85_1²9é\xad×ɏ!\x00\x00\x1b\x7f") + ["'s", "'ll", "'re", "'Ve", " '", "  ", "<|endoftext|>"]
+    texts = ["", "", " ", "\xa0", "'", "'l", "x's's'll'L", *("".join(rng.choices(chars, k=k % 40)) for k in range(2000)),
+             *(" " + c * k + " " + c * k for c in ("x", "é", "!", " ", "\xa0", "\x00") for k in (*range(1, 41), 300))]
+    want = [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    for remember, rows in ((500_000, 64), (8, 1), (300, 50)):
+        encoder = rans.PieceEncoder(path, remember)
+        for _ in range(2):
+            assert [x for i in range(0, len(texts), rows) for x in encoder.encode(texts[i:i + rows])] == want
+        assert encoder.table.count <= remember + 20 * rows and (encoder.table.size[:encoder.table.count] <= rans.PieceTable.LONGEST).all()
+    encoder, calls = rans.PieceEncoder(path), []
+    encoder.split = None  # Latin texts need no matches one by one
+
+    class Counted:
+        def encode_batch_fast(self, words, **kwargs):
+            calls.append(len(words))
+            return bare.encode_batch_fast(words, **kwargs)
+
+    bare, encoder.bare = encoder.bare, Counted()
+    words = [f"a{'bcdefghij'[i % 9]}{'klmnopqrst'[i // 9 % 10]}{'uvwxyz'[i // 90 % 6]}é" for i in range(500)]
+    encoder.encode([" ".join(words[:250]), " ".join(words[250:])])
+    assert calls == [8]  # 501 new ones, 64 a word
+
+
 def test_rans_blocks_round_trip_and_detect_damage():
     rng = np.random.default_rng(0)
     for n in (0, 1, 5, 4095, 4097, 50_000):
