@@ -238,7 +238,7 @@ def write_objects(df: DataFrame, folder: str, label: str, name, content) -> None
     rows.write.format("object_files").mode("append").option("path", folder).option("commit", commit).save()
     attempts = spark.read.text(commit).withColumnRenamed("value", "attempt")  # a row per task
     # by number: by key, these few short rows would be merged into one task that moves all files
-    attempts.repartition(max(1, attempts.count())).mapInArrow(put_in_place(folder), "files long").write.format("noop").mode("overwrite").save()
+    attempts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(put_in_place(folder), "files long").write.format("noop").mode("overwrite").save()
     system.delete_file(file_system(commit)[1])
     with system.open_output_stream(f"{root}/_SUCCESS", compression=None):
         pass
