@@ -44,6 +44,14 @@ _SPLITS = ("tree int, node int, feature int, gain double, goes_left array<int>,
            "own array<bigint>, on_left array<bigint>")
 
 
+def bounded_rows(df: DataFrame, most: int) -> list[dict]:
+    """The rows of a small result on the driver; more than ``most`` are an error."""
+    table = df.limit(most + 1).toArrow()
+    if table.num_rows > most:
+        raise ValueError(f"more than {most} rows for the driver")
+    return table.to_pylist()
+
+
 # --- leaves as bits ----------------------------------------------------------
 
 _MULTIPLIER = np.uint32(0x077CB531)  # a de Bruijn sequence: every single bit gets a place of its own
@@ -123,7 +131,7 @@ def thresholds(data: DataFrame, rows: int, features: list[int], bins: int, seed:
     10000) rows, the midpoints of neighbouring values nearest to equal shares."""
     need = max(bins * bins, 10000)
     sample = data if rows <= need else data.sample(False, need / rows, seed)
-    values = sample.select(F.posexplode("x").alias("feature", "value")).where(F.col("feature").isin(features) & ~F.isnan("value"))
+    values = sample.select(F.posexplode("x").alias("feature", "value")).where(F.col("feature").isin(features))
 
     def pick(table: pa.Table) -> pa.Table:
         table = table.sort_by("value")
@@ -140,8 +148,8 @@ def thresholds(data: DataFrame, rows: int, features: list[int], bins: int, seed:
             middle = middle[kept]
         return pa.table({"feature": pa.array([table["feature"][0].as_py()], pa.int32()), "at": pa.array([middle.tolist()], pa.list_(pa.float64()))})
 
-    found = {r["feature"]: np.array(r["at"], float) for r in values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("feature").applyInArrow(pick, "feature int, at array<double>").collect()} if features else {}
+    picked = values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").applyInArrow(pick, "feature int, at array<double>")
+    found = {r["feature"]: np.array(r["at"], float) for r in bounded_rows(picked, len(features))} if features else {}
     return {f: found.get(f, np.empty(0)) for f in features}
 
 
@@ -154,6 +162,8 @@ def _blocks(data: DataFrame, edges: dict, arity: dict, classes: int, block: int)
 
         def flush() -> pa.RecordBatch:
             x, y = (np.concatenate(z) for z in zip(*held, strict=True))
+            if not np.isfinite(x).all():  # as Spark's own fit
+                raise ValueError("a feature is NaN or infinite")
             bins = np.empty((width, len(y)), np.uint16)
             for f in range(width):
                 v = x[:, f]
@@ -301,7 +311,7 @@ class ManyTreesClassifier(RandomForestClassifier):
     def _fit(self, dataset: DataFrame):
         if not self._by_blocks():
             return super()._fit(dataset)
-        rows = dataset.count()
+        rows = bounded_rows(dataset.agg(F.count(F.lit(1)).alias("n")), 1)[0]["n"]
         if rows * self.getNumTrees() < MIN_PAIRS:
             return super()._fit(dataset)
         attrs = dataset.schema[self.getFeaturesCol()].metadata.get("ml_attr", {})
@@ -318,8 +328,8 @@ class ManyTreesClassifier(RandomForestClassifier):
         label = self.getLabelCol()
         names = dataset.schema[label].metadata.get("ml_attr", {}).get("vals")
         data = dataset.select(vector_to_array(self.getFeaturesCol()).alias("x"), F.col(label).cast("double").alias("y"))
-        width, most = data.select(F.size("x")).first()[0], data.agg(F.max("y")).first()[0] if names is None else None
-        classes = max(2, len(names) if names is not None else int(most) + 1)
+        sizes = bounded_rows(data.agg(F.max(F.size("x")).alias("width"), F.max("y").alias("label")), 1)[0]
+        width, classes = sizes["width"], max(2, len(names) if names is not None else int(sizes["label"]) + 1)
         bins = min(self.getMaxBins(), rows)
         edges = thresholds(data, rows, [f for f in range(width) if f not in arity], bins, seed % 2 ** 31)
         offsets = np.cumsum([0, *(arity[f] if f in arity else len(edges[f]) + 1 for f in range(width))])
@@ -347,8 +357,8 @@ class ManyTreesClassifier(RandomForestClassifier):
                 break
             found = _best_splits(_counts(blocks, work, offsets, classes, seed), ask, offsets, arity, classes, subsets,
                                  self.getMinInstancesPerNode(), self.getMinInfoGain())
-            opened = {}
-            for r in found.collect():
+            most, opened = sum(map(len, opened.values())), {}
+            for r in bounded_rows(found, most):  # one row an open node
                 t, p, own = r["tree"], r["node"], np.array(r["own"])
                 if r["feature"] < 0:
                     trees[t][p] = (own, None)
@@ -384,12 +394,13 @@ class ManyTreesClassifier(RandomForestClassifier):
 def forest_tables(model: RandomForestClassificationModel, spark) -> tuple | None:
     """What scoring by leaf bits needs, from the model's saved nodes; None for forests of
     few trees, or with a tree of more leaves than there are bits."""
-    if model.getNumTrees < MIN_TREES or any(w != 1.0 for w in model.treeWeights):
+    nodes = model.totalNumNodes
+    if model.getNumTrees < MIN_TREES or nodes > model.getNumTrees * (2 * MAX_LEAVES - 1) or any(w != 1.0 for w in model.treeWeights):
         return None
     path = scratch_path(spark, "forest")
     model.write().save(path)
     trees: dict[int, dict] = {}
-    for r in spark.read.parquet(f"{path}/data").collect():
+    for r in bounded_rows(spark.read.parquet(f"{path}/data"), nodes):
         trees.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
     if max(sum(n["leftChild"] < 0 for n in t.values()) for t in trees.values()) > MAX_LEAVES:
         return None

@@ -71,6 +71,14 @@ def test_clear_borders_are_found_by_every_tree(spark, by_blocks):
     assert grown.transform(df).where("prediction <> label").count() == 0
 
 
+def test_rows_that_sparks_fit_refuses_are_refused(spark, by_blocks):
+    good = spark.range(100).selectExpr("cast(id as double) as v", "cast(id % 2 as double) as label")
+    for bad in ("cast('NaN' as double) as v, 1D as label", "1D as v, cast(null as double) as label", "1D as v, 0.5D as label"):
+        df = assembler(["v"], handle_invalid="keep").transform(good.unionByName(spark.sql(f"SELECT {bad}")))
+        with pytest.raises(Exception, match="NaN or infinite|none of the"):
+            random_forest(numTrees=4, maxBins=32).fit(df)
+
+
 def test_train_eval_steps_with_a_forest_by_blocks(spark, rows, tmp_dir, by_blocks):
     from spindle.sources.readers import load_model
     stages = _stages(rows)
